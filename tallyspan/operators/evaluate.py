@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.functions.scalar import DEFAULT_THRESHOLD
-from tallyspan.operators.skew import running_sums
+from tallyspan.operators.skew import null_safe, running_sums
 
 # Column order of the comparison table, names of the fold metrics,
 # and the short names under which older prediction files keep their scores.
@@ -158,8 +158,8 @@ def roc_points(
 ) -> DataFrame:
     """(fpr, tpr, threshold) from (0, 0) on, one point per distinct score.
 
-    ``drop_collinear`` leaves out points on a straight line between their neighbours:
-    those with the same counts at their own and at the next lower score.
+    ``drop_collinear`` leaves out points in the middle of a run of equal steps: the
+    same positives and negatives at their own and at the next lower score.
     """
     curve = score_curve(df, target, score, by)
     points = curve.select(
@@ -178,7 +178,7 @@ def roc_points(
 
 
 def _corners(curve: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Points where the step (neg, pos) to the next point differs from the step before.
+    """The ends, and points where the step to the next point differs from the step before.
 
     The next score's step is fetched by an equi-join on the running row number.
     """
@@ -188,8 +188,9 @@ def _corners(curve: DataFrame, by: Sequence[str]) -> DataFrame:
     following = numbered.select(
         *by, (F.col("_one_cum") - 1).alias("_one_cum"), F.col("pos").alias("_pos"), F.col("neg").alias("_neg")
     )
-    joined = numbered.join(following, [*by, "_one_cum"], "left")
-    bent = F.col("_pos").isNull() | (F.col("_pos") * F.col("neg") != F.col("_neg") * F.col("pos"))
+    joined = null_safe(numbered, following, [*by, "_one_cum"], "left")
+    end = F.col("_pos").isNull() | (F.col("_one_cum") == 1)
+    bent = end | (F.col("_pos") != F.col("pos")) | (F.col("_neg") != F.col("neg"))
     return joined.where(bent).select(
         *by,
         _ratio(F.col("neg_cum").cast("double"), F.col("neg_total")).alias("fpr"),
