@@ -53,61 +53,69 @@ def _bin(value: Column, edges: Column, bins: int) -> Column:
     return total
 
 
-def bin_counts(values: DataFrame, edges: DataFrame, bins: int = BINS, extra: Sequence[str] = ()) -> DataFrame:
-    """(feature_name, *extra, bin, n) of the values inside the edges.
-
-    The edges are one row per column of the feature table, a size fixed by its schema,
-    so they are broadcast; each value then needs no shuffle before it is counted.
-    """
-    joined = values.join(F.broadcast(edges), "feature_name")
-    e = F.col("edges")
-    inside = (F.col("v") >= F.get(e, F.lit(0))) & (F.col("v") <= F.element_at(e, -1))
-    return (
-        joined.where((F.size(e) >= 2) & inside)
-        .groupBy("feature_name", *extra, _bin(F.col("v"), e, bins).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+OUTSIDE = -1
 
 
-def psi_bins(
+def binned_counts(
     baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = BINS,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """(feature_name, bin, lower, upper, baseline_n, current_n) for every bin, empty ones too.
-    Current values outside the baseline range are in no bin."""
-    base, edges, counts = _counted(baseline, current, columns, bins, hot_rows)
-    return _grid(edges).join(counts, ["feature_name", "bin"], "left").select(
-        "feature_name", "bin", "lower", "upper",
-        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("baseline_n", "current_n")],
-    )
+    """One row per column: ``edges`` and ``counts``, an array of (current?, bin, n).
 
-
-def _counted(baseline, current, columns, bins, hot_rows):
+    Both sides are counted in one pass; values outside the edges count in bin -1.  The
+    edges are one row per column of the feature table, a size its schema fixes, so they
+    are broadcast and no value is shuffled before it is counted.
+    """
     base = long_values(baseline, columns)
     edges = quantile_edges(base, bins, hot_rows)
     both = base.withColumn("_current", F.lit(False)).unionByName(
         long_values(current, columns).withColumn("_current", F.lit(True))
     )
-    counted = bin_counts(both, edges, bins, ["_current"])
-    sides = counted.groupBy("feature_name", "bin").agg(
-        F.sum(F.when(~F.col("_current"), F.col("n"))).alias("baseline_n"),
-        F.sum(F.when(F.col("_current"), F.col("n"))).alias("current_n"),
+    e = F.col("edges")
+    inside = (F.size(e) >= 2) & (F.col("v") >= F.get(e, F.lit(0))) & (F.col("v") <= F.element_at(e, -1))
+    place = F.when(inside, _bin(F.col("v"), e, bins)).otherwise(OUTSIDE)
+    counted = (
+        both.join(F.broadcast(edges), "feature_name", "left")
+        .groupBy("feature_name", "edges", F.col("_current").alias("current"), place.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return counted.groupBy("feature_name").agg(
+        F.any_value("edges").alias("edges"),
+        F.collect_list(F.struct("current", "bin", "n")).alias("counts"),
     )
-    return both, edges, sides
 
 
-def _grid(edges: DataFrame) -> DataFrame:
-    """Every bin of every feature that has at least two edges."""
-    return (
-        edges.where(F.size("edges") >= 2)
-        .select("feature_name", "edges", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
-        .select(
-            "feature_name", "bin",
-            F.get("edges", F.col("bin")).alias("lower"), F.get("edges", F.col("bin") + 1).alias("upper"),
-        )
+def _count(current: bool, bin_number: Column | None = None) -> Column:
+    """Rows of one side, in one bin or in all."""
+    side = lambda c: c["current"] if current else ~c["current"]
+    here = (lambda c: side(c) & (c["bin"] == bin_number)) if bin_number is not None else side
+    zero = F.lit(0).cast("bigint")
+    return F.aggregate("counts", zero, lambda acc, c: acc + F.when(here(c), c["n"]).otherwise(zero))
+
+
+def _bins() -> Column:
+    """Every bin as (bin, lower, upper, baseline_n, current_n); none below two edges."""
+    last = F.size("edges") - 2
+    numbers = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(
+        numbers,
+        lambda i: F.struct(
+            i.alias("bin"), F.get("edges", i).alias("lower"), F.get("edges", i + 1).alias("upper"),
+            _count(False, i).alias("baseline_n"), _count(True, i).alias("current_n"),
+        ),
     )
 
 
+def psi_bins(
+    baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = BINS,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """(feature_name, bin, lower, upper, baseline_n, current_n) for every bin, empty ones too.
+    Current values outside the baseline range are in no bin."""
+    counted = binned_counts(baseline, current, columns, bins, hot_rows)
+    return counted.where(F.col("edges").isNotNull()).select("feature_name", F.inline(_bins()))
+
+
 def psi(
     baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = BINS,
     hot_rows: int | None = HOT_ROWS,
@@ -117,35 +125,33 @@ def psi(
     0 where the baseline is constant, NaN where a side has no values.  An empty bin
     counts as a share of ``EMPTY_SHARE``.
     """
-    both, edges, counts = _counted(baseline, current, columns, bins, hot_rows)
-    sizes = both.groupBy("feature_name").agg(
-        F.count_if(~F.col("_current")).alias("baseline_rows"),
-        F.count_if(F.col("_current")).alias("current_rows"),
-    )
-    filled = _grid(edges).join(counts, ["feature_name", "bin"], "left")
+    counted = binned_counts(baseline, current, columns, bins, hot_rows)
     zero = F.lit(0).cast("bigint")
-    b, c = F.coalesce("baseline_n", zero), F.coalesce("current_n", zero)
-    # a feature has at most `bins` rows here, so they fit one array
-    packed = filled.groupBy("feature_name").agg(
-        F.collect_list(F.struct(b.alias("b"), c.alias("c"))).alias("rows"),
-        F.sum(b).alias("b_all"), F.sum(c).alias("c_all"),
+    rows = counted.select(
+        "feature_name", _bins().alias("bins"),
+        _count(False).alias("baseline_rows"), _count(True).alias("current_rows"),
+    ).withColumns(
+        {
+            "b_all": F.aggregate("bins", zero, lambda acc, x: acc + x["baseline_n"]),
+            "c_all": F.aggregate("bins", zero, lambda acc, x: acc + x["current_n"]),
+        }
     )
 
     def share(count: Column, total: Column) -> Column:
         part = count / F.greatest(total, F.lit(1).cast("bigint"))
         return F.when(part == 0, EMPTY_SHARE).otherwise(part)
 
-    def term(row: Column) -> Column:
-        bs, cs = share(row["b"], F.col("b_all")), share(row["c"], F.col("c_all"))
-        return (cs - bs) * F.ln(cs / bs)
+    def term(x: Column) -> Column:
+        b, c = share(x["baseline_n"], F.col("b_all")), share(x["current_n"], F.col("c_all"))
+        return (c - b) * F.ln(c / b)
 
-    index = F.aggregate("rows", F.lit(0.0), lambda acc, r: acc + term(r))
-    scored = packed.select("feature_name", index.alias("_psi"))
+    index = F.aggregate("bins", F.lit(0.0), lambda acc, x: acc + term(x))
+    # a column without any value on either side has no row yet
     names = baseline.sparkSession.createDataFrame([(c,) for c in columns], "feature_name string")
-    rows = names.join(sizes, "feature_name", "left").join(scored, "feature_name", "left")
+    joined = names.join(rows.withColumn("_psi", index), "feature_name", "left")
     b_rows, c_rows = F.coalesce("baseline_rows", zero), F.coalesce("current_rows", zero)
-    value = F.when((b_rows == 0) | (c_rows == 0), F.lit(float("nan"))).otherwise(F.coalesce("_psi", F.lit(0.0)))
-    return rows.select(
+    value = F.when((b_rows == 0) | (c_rows == 0), F.lit(float("nan"))).otherwise(F.col("_psi"))
+    return joined.select(
         "feature_name", value.alias("psi"), b_rows.alias("baseline_rows"), c_rows.alias("current_rows")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings recommended for every job of this package.
 RECOMMENDED = {
@@ -52,3 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyspan-checkpoint-"))
     else:
         raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute once and keep reliably, for a frame that several jobs read."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
