@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.operators.refresh import upsert
+from tallyspan.operators.refresh import latest_per_key, upsert
 
 # The schema of the prediction table.
 PREDICTION_SCHEMA = (
@@ -129,16 +129,22 @@ def append_drift(report: DataFrame, table: str, csv_path: str) -> None:
     report.coalesce(1).write.mode("overwrite").csv(csv_path, header=True)
 
 
-def serving_snapshot(features: DataFrame, key: str, names: list[str]) -> DataFrame:
-    """Key-unique rows of the named features for the serving table."""
-    kept = features.where(F.col(key).isNotNull()).select(key, *names)
-    return kept.dropDuplicates([key])
+def serving_snapshot(
+    features: DataFrame, key: str, names: list[str], order: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row of the named features per key: the newest along ``order`` where keys repeat."""
+    kept = features.where(F.col(key).isNotNull())
+    if order:
+        kept = latest_per_key(kept, key, order)
+    return kept.select(key, *names)
 
 
-def publish_serving(features: DataFrame, table: str, key: str, names: list[str]) -> LoadResult:
+def publish_serving(
+    features: DataFrame, table: str, key: str, names: list[str], order: tuple[str, ...] = ()
+) -> LoadResult:
     if not names:
         raise ValueError("The feature list must not be empty.")
-    return load_table(serving_snapshot(features, key, names), table, "truncate")
+    return load_table(serving_snapshot(features, key, names, order), table, "truncate")
 
 
 def write_feature_list(spark: SparkSession, names: list[str], path: str) -> None:
