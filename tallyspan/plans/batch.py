@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspan.functions.scalar import as_date
 from tallyspan.operators.clean import cast_categoricals, drop_sparse_columns, filter_dates, nan_as_null
@@ -78,11 +79,12 @@ def run(
     train_rows, test_rows = hash_split(spark.table(f"{tables}_features"), spec.id, train_ratio)
     train = create_table_as(train_rows, f"{tables}_train")
     test = create_table_as(test_rows, f"{tables}_test")
+    labelled = train.where(F.col(target).isNotNull())
     final = train_final(
-        train, spec.id, target, selector_rounds=selector_rounds, final_rounds=final_rounds,
+        labelled, spec.id, target, selector_rounds=selector_rounds, final_rounds=final_rounds,
         min_features=min_features, max_features=max_features, **params,
     )
-    holdout = holdout_report(final.model, test, target)
+    holdout = holdout_report(final.model, test.where(F.col(target).isNotNull()), target)
     scores = batch_score(final.model, features.drop(target), spec.id, job)
     load_table(scores, f"{tables}_predictions")
     drift = drift_report(train, test, [spec.id, target])

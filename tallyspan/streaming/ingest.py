@@ -25,7 +25,7 @@ def read_broker(spark: SparkSession, servers: str, topic: str, **options: str) -
     )
     return source.select(
         F.col("value").cast("string").alias("body"), F.col("timestamp").alias("arrival"),
-        F.struct("partition", "offset").alias("place"),
+        F.col("offset").alias("place"),
     )
 
 
