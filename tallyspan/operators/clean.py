@@ -48,7 +48,9 @@ def missing_percent(df: DataFrame) -> DataFrame:
     """(column, missing_pct) with NULL and NaN both missing; one pass, one row, then turned."""
     row = df.agg(
         *[
-            (F.count_if(nan_to_null(f.name, f.dataType).isNull()) * 100.0 / F.count(F.lit(1))).alias(f.name)
+            F.try_divide(
+                F.count_if(nan_to_null(f.name, f.dataType).isNull()) * 100.0, F.count(F.lit(1))
+            ).alias(f.name)
             for f in df.schema.fields
         ]
     )

@@ -28,8 +28,8 @@ def statement_describe(df: DataFrame, key: str) -> DataFrame:
     n, w = F.col("n_statements").cast("double"), F.col("n_keys")
     total, first, second = F.sum(w), F.sum(n * w), F.sum(n * n * w)
     row = histogram.agg(
-        total.alias("count"),
-        (first / total).alias("mean"),
+        F.coalesce(total, F.lit(0).cast("bigint")).alias("count"),
+        F.try_divide(first, total).alias("mean"),
         F.when(total > 1, F.sqrt((second - first * first / total) / (total - 1))).alias("std"),
         F.min(n).alias("min"),
         F.percentile("n_statements", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), w).alias("_q"),

@@ -21,7 +21,7 @@ from tallyspan.streaming.ingest import CYCLE, accepted, decode
 HISTORY_LIMIT = 13
 
 WINDOW_SCHEMA = "key string, place int, cycle string, text string"
-STATE_SCHEMA = "texts array<string>, cycles array<string>"
+STATE_SCHEMA = "arrivals array<bigint>, places array<bigint>, cycles array<string>, texts array<string>"
 
 
 def newest_per_chunk(chunks: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFrame]:
@@ -32,22 +32,23 @@ def newest_per_chunk(chunks: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.
 
 
 def roll(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState, limit: int) -> Iterator[pd.DataFrame]:
-    """Push the new arrivals onto the entity's window, oldest out, and emit the window."""
-    newest: list[tuple] = []
-    serial = 0
+    """Merge the new arrivals into the entity's window, oldest out, and emit the window.
+
+    Memory holds one chunk and the window.  Files of a source may be read out of order,
+    so the window is kept by arrival stamp, not by the order of micro-batches.
+    """
+    window: list[tuple] = list(zip(*state.get)) if state.exists else []
+    heapq.heapify(window)
     for chunk in chunks:
         for row in chunk[["arrival", "place", "cycle", "text"]].itertuples(index=False):
-            serial += 1
-            entry = (row.arrival, row.place, serial, row.cycle, row.text)
-            if len(newest) < limit:
-                heapq.heappush(newest, entry)
+            entry = (int(row.arrival), int(row.place), row.cycle, row.text)
+            if len(window) < limit:
+                heapq.heappush(window, entry)
             else:
-                heapq.heappushpop(newest, entry)
-    newest.sort()
-    texts, cycles = state.get if state.exists else ([], [])
-    texts = [*texts, *[n[4] for n in newest]][-limit:]
-    cycles = [*cycles, *[n[3] for n in newest]][-limit:]
-    state.update((texts, cycles))
+                heapq.heappushpop(window, entry)
+    window.sort()
+    arrivals, places, cycles, texts = (list(column) for column in zip(*window))
+    state.update((arrivals, places, cycles, texts))
     yield pd.DataFrame(
         {"key": key[0], "place": range(1, len(texts) + 1), "cycle": cycles, "text": texts}
     )
@@ -66,7 +67,8 @@ def rolling_windows(
     if dedupe_within is not None:
         rows = rows.withWatermark(arrival, dedupe_within).dropDuplicatesWithinWatermark([key, CYCLE])
     narrow = rows.select(
-        F.col(key).cast("string").alias("key"), F.col(arrival).alias("arrival"),
+        F.col(key).cast("string").alias("key"),
+        F.unix_micros(F.col(arrival).cast("timestamp")).alias("arrival"),
         F.col(place).cast("bigint").alias("place"), F.col(CYCLE).alias("cycle"), "text",
     )
     reduced = narrow.mapInPandas(lambda chunks: newest_per_chunk(chunks, limit), narrow.schema)
