@@ -33,11 +33,14 @@ def nudge(digits: int) -> float:
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, and -0.0 made 0.0, for comparison with another engine."""
 
-    def one(name):
-        return (F.round(F.col(name) + F.lit(nudge(digits)), digits) + F.lit(0.0)).alias(name)
-
-    return df.select(
-        *[one(f.name) if isinstance(f.dataType, DoubleType) else f.name for f in df.schema.fields]
+    add = f"{nudge(digits):.{digits + 2}f}D"
+    return df.selectExpr(
+        *[
+            f"round(`{f.name}` + {add}, {digits}) + 0.0D AS `{f.name}`"
+            if isinstance(f.dataType, DoubleType)
+            else f"`{f.name}`"
+            for f in df.schema.fields
+        ]
     )
 
 

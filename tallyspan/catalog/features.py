@@ -132,6 +132,20 @@ def customer_features_wide(spark, sf_dir):
     return rounded(build_features(order_lines(spark, sf_dir), OL_SPEC, layout="long"))
 
 
+# forty columns, each the value scaled and mixed with the other one, for the width of a real table
+MATRIX_COLUMNS = tuple(f"m{i}" for i in range(1, 41))
+MATRIX_SPEC = Spec("user_id", "ts", ("event_id",), None, MATRIX_COLUMNS, ("event_type",), True)
+MATRIX_SQL = f"""{EVN_SQL}, mx AS (SELECT user_id, ts, event_id, event_type,
+  {", ".join(f"value * {i} + k AS m{i}" for i in range(1, 41))} FROM evn)"""
+
+
+@query("feature_matrix", features_sql(MATRIX_SQL, "mx", MATRIX_SPEC))
+def feature_matrix(spark, sf_dir):
+    rows = gappy_events(spark, sf_dir)
+    columns = [(F.col("value") * i + F.col("k")).alias(f"m{i}") for i in range(1, 41)]
+    return rounded(build_features(rows.select("user_id", "ts", "event_id", "event_type", *columns), MATRIX_SPEC))
+
+
 @query("full_stats", events_sql(("mean", "std", "min", "max", "median")))
 def full_stats(spark, sf_dir):
     return of_events(spark, sf_dir, ("mean", "std", "min", "max", "median"))

@@ -28,14 +28,24 @@ def nan_to_null(name: str, dtype: DataType) -> Column:
     """NaN counts as missing everywhere, as it would otherwise poison every aggregate."""
     column = F.col(name)
     if isinstance(dtype, (DoubleType, FloatType)):
-        return F.when(~F.isnan(column), column)
+        return F.nanvl(column, F.lit(None).cast(dtype))
     return column
 
 
-def coerce_numeric(name: str, dtype: DataType | None = None) -> Column:
-    """Double value, NULL where the text is no number or the number is NaN."""
-    value = F.col(name).try_cast("double")
-    return F.when(~F.isnan(value), value)
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def number_sql(name: str) -> str:
+    """A column as double, NULL where its text is no number or the number is NaN.
+
+    ``nanvl`` names the value once; a CASE would evaluate the column's expression twice.
+    """
+    return f"nanvl(try_cast({quoted(name)} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def coerce_numeric(name: str) -> Column:
+    return F.expr(number_sql(name))
 
 
 def fill_missing(column: Column, value: float = 0.0) -> Column:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.functions.names import CATEGORY_STATS, Feature, all_features, parse_feature
-from tallyspan.functions.scalar import as_date, coerce_numeric
+from tallyspan.functions.names import (
+    CATEGORY_STATS, NUMERIC_STATS, RECENT_WINDOWS, Feature, all_features, parse_feature,
+)
+from tallyspan.functions.scalar import as_date, coerce_numeric, number_sql, quoted
 from tallyspan.operators.quantiles import distributed_quantiles
 from tallyspan.operators.sequence import FROM_END, FROM_START, PREVIOUS, sequence_parts
 from tallyspan.operators.skew import null_safe
@@ -22,78 +24,78 @@ WIDE_COLUMNS = 8
 def prepare_statements(df: DataFrame, spec: Spec, continuous: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     """Only the columns the features need, typed: dates parsed, numbers double, NaN as NULL."""
     require_columns(df, [spec.id, *spec.order_columns])
-    types = {f.name: f.dataType for f in df.schema.fields}
+    dtype = df.schema[spec.date].dataType
     has_target = spec.target is not None and spec.target in df.columns
-    roles = {spec.id, *spec.order_columns}
+    alias = _aliases(spec, [*continuous, *categorical])
     return df.select(
         spec.id,
-        as_date(spec.date, types[spec.date]).alias(spec.date),
+        as_date(spec.date, dtype).alias(spec.date),
         *spec.tiebreak,
         *([spec.target] if has_target else []),
-        *[coerce_numeric(c).alias(f"{c}{_clash(c, roles)}") for c in continuous],
-        *[F.col(c).cast("string").alias(f"{c}{_clash(c, roles)}") for c in categorical],
+        *[F.expr(f"{number_sql(c)} AS {quoted(alias[c])}") for c in continuous],
+        *[F.expr(f"CAST({quoted(c)} AS STRING) AS {quoted(alias[c])}") for c in categorical],
     )
 
 
-def _clash(column: str, roles: set[str]) -> str:
-    """Suffix for a value column that also serves as the id or in the order."""
-    return "_value" if column in roles else ""
-
-
-def numeric_stats(value: Column, previous: Column, approx: bool, skip_nulls: bool) -> dict[str, Callable[[], Column]]:
-    """Recipes of all numeric statistics over ``value``; ``previous`` is the value one row earlier."""
-    from_start, from_end = F.col(FROM_START), F.col(FROM_END)
-    change = value - previous
-
-    def last(v: Column) -> Column:
-        if skip_nulls:
-            return F.max_by(v, F.when(v.isNotNull(), from_start))
-        return F.max(F.when(from_end == 1, v))
+def _aliases(spec: Spec, columns: Sequence[str]) -> dict[str, str]:
+    """Names of the value columns; one that is also the id or in the order gets a second name."""
+    roles = {spec.id, *spec.order_columns}
+    return {c: f"{c}_value" if c in roles else c for c in columns}
 
-    def first() -> Column:
-        if skip_nulls:
-            return F.min_by(value, F.when(value.isNotNull(), from_start))
-        return F.max(F.when(from_start == 1, value))
 
-    recipes: dict[str, Callable[[], Column]] = {
-        "mean": lambda: F.avg(value),
-        "std": lambda: F.stddev_samp(value),
-        "min": lambda: F.min(value),
-        "max": lambda: F.max(value),
-        "median": lambda: F.percentile_approx(value, 0.5) if approx else F.median(value),
-        "last": lambda: last(value),
+def numeric_stats(value: str, change: str, approx: bool, skip_nulls: bool) -> dict[str, str]:
+    """SQL of every numeric statistic over ``value`` and its ``change`` from the row before."""
+    if skip_nulls:
+        last = f"max_by({value}, {FROM_START}) FILTER (WHERE {value} IS NOT NULL)"
+        first = f"min_by({value}, {FROM_START}) FILTER (WHERE {value} IS NOT NULL)"
+    else:
+        last = f"max({value}) FILTER (WHERE {FROM_END} = 1)"
+        first = f"max({value}) FILTER (WHERE {FROM_START} = 1)"
+    stats = {
+        "mean": f"avg({value})",
+        "std": f"stddev_samp({value})",
+        "min": f"min({value})",
+        "max": f"max({value})",
+        "median": f"percentile_approx({value}, 0.5)" if approx else f"median({value})",
+        "last": last,
         "first": first,
-        "last_minus_mean": lambda: last(value) - F.avg(value),
-        "diff_mean": lambda: F.avg(change),
-        "diff_std": lambda: F.stddev_samp(change),
-        "diff_min": lambda: F.min(change),
-        "diff_max": lambda: F.max(change),
+        "diff_mean": f"avg({change})",
+        "diff_std": f"stddev_samp({change})",
+        "diff_min": f"min({change})",
+        "diff_max": f"max({change})",
+        "last_minus_mean": f"{last} - avg({value})",
     }
-    for n in (3, 6):
-        recent = F.when(from_end <= n, value)
-        recipes |= {
-            f"mean_{n}m": lambda r=recent: F.avg(r),
-            f"std_{n}m": lambda r=recent: F.stddev_samp(r),
-            f"min_{n}m": lambda r=recent: F.min(r),
-            f"max_{n}m": lambda r=recent: F.max(r),
-            f"last_{n}m": lambda r=recent: last(r),
+    for n in RECENT_WINDOWS:
+        recent = f"FILTER (WHERE {FROM_END} <= {n})"
+        stats |= {
+            f"mean_{n}m": f"avg({value}) {recent}",
+            f"std_{n}m": f"stddev_samp({value}) {recent}",
+            f"min_{n}m": f"min({value}) {recent}",
+            f"max_{n}m": f"max({value}) {recent}",
+            f"last_{n}m": (
+                f"max_by({value}, {FROM_START}) FILTER (WHERE {value} IS NOT NULL AND {FROM_END} <= {n})"
+                if skip_nulls
+                else last
+            ),
         }
-    return recipes
+    return stats
+
 
+def category_stats(value: str, approx: bool, skip_nulls: bool) -> dict[str, str]:
+    """SQL of every statistic of a text column.
 
-def category_stats(value: Column, approx: bool, skip_nulls: bool) -> dict[str, Callable[[], Column]]:
-    from_start, from_end = F.col(FROM_START), F.col(FROM_END)
+    The exact distinct count is the size of a set per entity: several count(DISTINCT)
+    would multiply the rows, and the set of an ordinary entity is bounded by its rows.
+    """
     return {
-        "count": lambda: F.count(value),
-        # a set per entity instead of count(distinct): several distinct columns would
-        # multiply the rows, and the set is bounded by the rows of an ordinary entity
-        "nunique": lambda: (
-            F.approx_count_distinct(value) if approx else F.size(F.collect_set(value)).cast("bigint")
+        "count": f"count({value})",
+        "nunique": (
+            f"approx_count_distinct({value})" if approx else f"CAST(size(collect_set({value})) AS BIGINT)"
         ),
-        "last": lambda: (
-            F.max_by(value, F.when(value.isNotNull(), from_start))
+        "last": (
+            f"max_by({value}, {FROM_START}) FILTER (WHERE {value} IS NOT NULL)"
             if skip_nulls
-            else F.max(F.when(from_end == 1, value))
+            else f"max({value}) FILTER (WHERE {FROM_END} = 1)"
         ),
     }
 
@@ -164,108 +166,112 @@ def build_features(
 
 
 class _Core:
-    """The two layouts of the same aggregation, over rows that carry their sequence."""
+    """The two layouts of the same aggregation, over rows that carry their sequence.
+
+    In the long layout, place i of the arrays holds continuous column i and, at once,
+    categorical column i; one pass over the places computes both kinds.
+    """
 
     def __init__(self, spec, continuous, categorical, features, has_target, options):
         self.spec = spec
-        self.columns = [*continuous, *categorical]
         self.continuous, self.categorical = continuous, categorical
         self.features = features
         self.target = [spec.target] if has_target else []
         self.options = options
-        roles = {spec.id, *spec.order_columns}
-        self.alias = {c: f"{c}{_clash(c, roles)}" for c in self.columns}
+        self.alias = _aliases(spec, [*continuous, *categorical])
+        self.is_number = set(continuous)
         self.changing = [
             c for c in continuous if any(f.raw == c and f.stat.startswith("diff_") for f in features)
         ]
-        numeric = {f.stat for f in features if f.raw in set(continuous)}
-        category = {f.stat for f in features if f.raw in set(categorical)}
-        self.numeric = [s for s in numeric_stats(F.lit(0), F.lit(0), **options) if s in numeric]
+        numeric = {f.stat for f in features if f.raw in self.is_number}
+        category = {f.stat for f in features if f.raw not in self.is_number}
+        self.numeric = [s for s in NUMERIC_STATS if s in numeric]
         self.category = [s for s in CATEGORY_STATS if s in category]
 
+    def carried(self) -> list:
+        return [F.max(t).alias(t) for t in self.target]
+
     # -- layouts -----------------------------------------------------------
 
     def shape(self, base: DataFrame, layout: str) -> tuple[DataFrame, Column | None]:
         """Rows as they go through the shuffle, and what to remember from the row before."""
-        if layout == "wide":
-            lagged = F.struct(*[F.col(self.alias[c]).alias(c) for c in self.changing])
-            return base, lagged if self.changing else None
-        return self.to_arrays(base, [*self.spec.order_columns]), F.col("_values")
+        if layout == "long":
+            return self.to_arrays(base, self.spec.order_columns), F.col("_values") if self.changing else None
+        if not self.changing:
+            return base, None
+        return base, F.struct(*[F.col(self.alias[c]).alias(c) for c in self.changing])
 
     def to_arrays(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        empty, none = F.lit(None).cast("double"), F.lit(None).cast("string")
-        numbers = [F.col(self.alias[c]) for c in self.continuous] + [empty] * len(self.categorical)
-        texts = [none] * len(self.continuous) + [F.col(self.alias[c]) for c in self.categorical]
+        names = lambda columns: ", ".join(quoted(self.alias[c]) for c in columns)
         return df.select(
             self.spec.id, *keep, *self.target,
-            F.array(*numbers).alias("_values"), F.array(*texts).alias("_texts"),
+            F.expr(f"CAST(array({names(self.continuous)}) AS ARRAY<DOUBLE>) AS _values"),
+            F.expr(f"CAST(array({names(self.categorical)}) AS ARRAY<STRING>) AS _texts"),
         )
 
     def wide_to_long(self, seq: DataFrame) -> DataFrame:
         """Sequenced wide rows with their values, and previous values, as arrays."""
-        empty = F.lit(None).cast("double")
-        previous = [
-            F.col(f"{PREVIOUS}.{c}") if c in self.changing else empty for c in self.columns
-        ]
-        seq = seq.withColumn("_previous", F.array(*previous))
-        return self.to_arrays(seq, [FROM_START, FROM_END, "_previous"]).withColumnRenamed(
-            "_previous", PREVIOUS
-        )
+        keep = [FROM_START, FROM_END]
+        if self.changing:
+            before = ", ".join(
+                f"{PREVIOUS}.{quoted(c)}" if c in self.changing else "NULL" for c in self.continuous
+            )
+            seq = seq.withColumn(PREVIOUS, F.expr(f"CAST(array({before}) AS ARRAY<DOUBLE>)"))
+            keep.append(PREVIOUS)
+        return self.to_arrays(seq, keep)
 
     # -- aggregation -------------------------------------------------------
 
     def wide(self, seq: DataFrame) -> DataFrame:
         recipes = {}
         for c in self.continuous:
-            previous = F.col(f"{PREVIOUS}.{c}") if c in self.changing else F.lit(None)
-            recipes[c] = numeric_stats(F.col(self.alias[c]), previous, **self.options)
+            v = quoted(self.alias[c])
+            recipes[c] = numeric_stats(v, f"({v} - {PREVIOUS}.{quoted(c)})", **self.options)
         for c in self.categorical:
-            recipes[c] = category_stats(F.col(self.alias[c]), **self.options)
+            recipes[c] = category_stats(quoted(self.alias[c]), **self.options)
         return seq.groupBy(self.spec.id).agg(
-            *[F.max(t).alias(t) for t in self.target],
-            *[recipes[f.raw][f.stat]().alias(f.name) for f in self.features],
+            *self.carried(), *[F.expr(f"{recipes[f.raw][f.stat]} AS {quoted(f.name)}") for f in self.features]
         )
 
     def explode(self, seq: DataFrame) -> DataFrame:
-        nothing = F.array_repeat(F.lit(None).cast("double"), len(self.columns))
-        entries = F.arrays_zip(
-            F.col("_values").alias("v"), F.coalesce(PREVIOUS, nothing).alias("p"), F.col("_texts").alias("t")
+        """A row per place.  The rows are already hashed on the entity, so the exploded ones
+        feed the aggregation in the same task and are never shuffled."""
+        arrays = ["_values AS v", "_texts AS t"]
+        if self.changing:
+            arrays.append(f"coalesce({PREVIOUS}, CAST(array() AS ARRAY<DOUBLE>)) AS p")
+        entries = F.arrays_zip(*[F.expr(a) for a in arrays])
+        exploded = seq.select(
+            self.spec.id, *self.target, FROM_START, FROM_END, F.posexplode(entries).alias("_at", "_e")
         )
-        return seq.select(
-            self.spec.id, *self.target, FROM_START, FROM_END,
-            F.posexplode(entries).alias("_at", "_e"),
-        ).select(
-            self.spec.id, *self.target, FROM_START, FROM_END, "_at",
-            F.col("_e.v").alias("_v"), F.col("_e.p").alias("_p"), F.col("_e.t").alias("_t"),
+        change = ["_e.v - _e.p AS _d"] if self.changing else []
+        kept = [quoted(c) for c in (self.spec.id, *self.target)]
+        return exploded.selectExpr(
+            *kept, FROM_START, FROM_END, "_at", "_e.v AS _v", "_e.t AS _t", *change
         )
 
     def long_stats(self, long: DataFrame, without: Sequence[str] = ()) -> DataFrame:
-        """One row per (entity, column).  The rows are already hashed on the entity, so
-        exploding them sends nothing over the network."""
-        numeric = numeric_stats(F.col("_v"), F.col("_p"), **self.options)
-        category = category_stats(F.col("_t"), **self.options)
+        """One row per (entity, place)."""
+        numeric = numeric_stats("_v", "_d", **self.options)
+        category = category_stats("_t", **self.options)
+        wanted = [(numeric[s], f"n_{s}") for s in self.numeric if s not in without]
+        wanted += [(category[s], f"c_{s}") for s in self.category if s not in without]
+        if not wanted:
+            wanted = [("count(1)", "_rows")]
         return long.groupBy(self.spec.id, "_at").agg(
-            *[F.max(t).alias(t) for t in self.target],
-            *[numeric[s]().alias(f"n_{s}") for s in self.numeric if s not in without],
-            *[category[s]().alias(f"c_{s}") for s in self.category if s not in without],
+            *self.carried(), *[F.expr(f"{sql} AS {name}") for sql, name in wanted]
         )
 
     def gather(self, stats: DataFrame) -> DataFrame:
-        """Back to one row per entity: the stats of column i sit at place i of an array."""
+        """Back to one row per entity: the stats of place i sit at place i of an array."""
         names = [f"n_{s}" for s in self.numeric] + [f"c_{s}" for s in self.category]
         rows = stats.groupBy(self.spec.id).agg(
-            *[F.max(t).alias(t) for t in self.target],
-            F.array_sort(F.collect_list(F.struct("_at", *names))).alias("_s"),
+            *self.carried(), F.array_sort(F.collect_list(F.struct("_at", *names))).alias("_s")
         )
-        place = {c: i for i, c in enumerate(self.columns)}
-        numeric = set(self.continuous)
-        return rows.select(
-            self.spec.id,
-            *self.target,
-            *[
-                F.col("_s")[place[f.raw]][f"{'n' if f.raw in numeric else 'c'}_{f.stat}"].alias(f.name)
-                for f in self.features
-            ],
+        place = {c: i for columns in (self.continuous, self.categorical) for i, c in enumerate(columns)}
+        kind = lambda f: "n" if f.raw in self.is_number else "c"
+        return rows.selectExpr(
+            *[quoted(c) for c in (self.spec.id, *self.target)],
+            *[f"_s[{place[f.raw]}].{kind(f)}_{f.stat} AS {quoted(f.name)}" for f in self.features],
         )
 
     def long(self, seq: DataFrame) -> DataFrame:
