@@ -203,10 +203,10 @@ def model_ranking(spark, sf_dir):
     return rounded(in_order.select("row.model", "row.roc_auc", (F.col("at") + 1).cast("bigint").alias("place")))
 
 
-# importance of each order priority to the folds of customers, absent where a fold lacks it
+# orders of each pair of customers by fold: every pair is absent from three of the five folds
 FOLD_IMPORTANCE_SQL = """fi AS (
-  SELECT o_orderpriority || '/' || (o_custkey % 97) AS feature, o_custkey % 5 + 1 AS fold, count(*) AS importance
-  FROM orders WHERE o_orderstatus = 'P' GROUP BY 1, 2)"""
+  SELECT 'pair_' || CAST(o_custkey // 2 AS VARCHAR) AS feature, o_custkey % 5 + 1 AS fold, count(*) AS importance
+  FROM orders GROUP BY 1, 2)"""
 
 
 @query(
@@ -218,9 +218,8 @@ SELECT feature, {r("avg(importance)", "importance_mean")}, {r("stddev_samp(impor
 FROM grid GROUP BY feature""",
 )
 def importance_mean(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
-    name = F.concat_ws("/", "o_orderpriority", (F.col("o_custkey") % 97).cast("string"))
-    per_fold = rows.groupBy(name.alias("feature"), (F.col("o_custkey") % 5 + 1).alias("fold")).agg(
-        F.count(F.lit(1)).alias("importance")
-    )
+    name = F.concat(F.lit("pair_"), F.floor(F.col("o_custkey") / 2).cast("string"))
+    per_fold = table(spark, sf_dir, "orders").groupBy(
+        name.alias("feature"), (F.col("o_custkey") % 5 + 1).alias("fold")
+    ).agg(F.count(F.lit(1)).alias("importance"))
     return rounded(mean_fold_importance(per_fold, 5))

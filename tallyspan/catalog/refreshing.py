@@ -8,6 +8,7 @@ from tallyspan.catalog.base import EV_SPEC, EV_SQL, events, query, r, rounded, t
 from tallyspan.catalog.features import DIGITS, sequence_sql
 from tallyspan.operators.features import build_features
 from tallyspan.operators.refresh import changed_keys, refresh_features, restrict_to_keys, tiered_lookup, upsert
+from tallyspan.session import materialise
 from tallyspan.sources.writers import serving_snapshot
 
 # users with an error on the last day count as changed in that cycle; the days before
@@ -80,7 +81,7 @@ def _old(spark, sf_dir):
 FROM old o FULL JOIN refreshed n ON o.user_id = n.user_id""",
 )
 def upsert_features(spark, sf_dir):
-    fresh = refreshed_features(spark, sf_dir)
+    fresh = materialise(refreshed_features(spark, sf_dir))
     return upsert(_old(spark, sf_dir), fresh, "user_id", ["value_mean", "value_last"])
 
 

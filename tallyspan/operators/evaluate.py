@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.functions.scalar import DEFAULT_THRESHOLD
-from tallyspan.operators.skew import null_safe, running_sums
+from tallyspan.operators.skew import join_small, null_safe, running_sums
 
 # Column order of the comparison table, names of the fold metrics,
 # and the short names under which older prediction files keep their scores.
@@ -239,9 +239,9 @@ def best_fold(folds: DataFrame, metric: str = "roc_auc") -> DataFrame:
 
 def best_fold_rows(oof: DataFrame, folds: DataFrame, metric: str = "roc_auc") -> DataFrame:
     """Rows scored in their model's best fold.  One row per model is joined, so the
-    scores themselves are not moved when Spark sees how small it is."""
+    scores themselves are not moved."""
     best = best_fold(folds, metric).withColumnRenamed("best_fold", "fold")
-    return oof.join(best, ["model", "fold"], "left_semi")
+    return join_small(oof, best, ["model", "fold"], "left_semi")
 
 
 def flatten_metrics(reports: DataFrame, folds: DataFrame | None = None) -> DataFrame:

@@ -11,6 +11,11 @@ from tallyspan.operators.skew import running_sums, split_hot
 from tallyspan.spec import HOT_ROWS
 
 
+# In an input too large for one task, a group beyond this many rows is large as well:
+# a scan task meets many groups at once and would hold the values of all of them.
+GROUP_ROWS = 10_000
+
+
 def grouped_quantiles(
     df: DataFrame,
     by: Sequence[str],
@@ -24,7 +29,7 @@ def grouped_quantiles(
     suits ordinary groups; larger ones go through ``distributed_quantiles``.
     """
     present = df.where(F.col(value).isNotNull())
-    usual, hot = split_hot(present, by, hot_rows)
+    usual, hot = split_hot(present, by, hot_rows, GROUP_ROWS)
     exact = usual.groupBy(*by).agg(
         F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("quantiles")
     )

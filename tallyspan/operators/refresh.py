@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.names import raw_columns
 from tallyspan.operators.features import align_features, build_features
-from tallyspan.operators.skew import split_hot
+from tallyspan.operators.skew import MAX_HOT_KEYS, split_hot
 from tallyspan.spec import HOT_ROWS, Spec, require_columns
 
 # Where a looked-up feature vector came from.
@@ -61,30 +61,44 @@ def refresh_features(
     return align_features(build_features(statements, narrow, wanted, hot_rows=hot_rows), spec.id, wanted)
 
 
-def upsert(target: DataFrame, staging: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
+def upsert(
+    target: DataFrame, staging: DataFrame, key: str, columns: Sequence[str] | None = None,
+    small_rows: int = MAX_HOT_KEYS,
+) -> DataFrame:
     """The target with the staging rows merged in.
 
     Matched keys take the staging values of ``columns`` (NULLs too) and keep all else;
-    new keys are added with the other columns NULL.  Both sides hold a key once, so one
-    full outer join does it and no key can be hot.
+    new keys are added with the other columns NULL.  Both sides hold a key once, so no
+    key can be hot.  A staging table of at most ``small_rows`` rows (counted) is
+    broadcast and the target is not shuffled at all; a larger one is merged by a full
+    outer join.
     """
     columns = [c for c in staging.columns if c != key] if columns is None else list(columns)
     require_columns(staging, [key, *columns])
-    t, s = target.alias("t"), staging.select(key, *columns).alias("s")
-    joined = t.join(s, F.col(f"t.`{key}`") == F.col(f"s.`{key}`"), "full_outer")
-    fresh = F.col(f"s.`{key}`").isNotNull()
-
-    def one(name: str):
-        if name == key:
-            return F.coalesce(F.col(f"t.`{key}`"), F.col(f"s.`{key}`")).alias(key)
-        if name not in columns:
-            return F.col(f"t.`{name}`")
-        if name not in target.columns:
-            return F.when(fresh, F.col(f"s.`{name}`")).alias(name)
-        return F.when(fresh, F.col(f"s.`{name}`")).otherwise(F.col(f"t.`{name}`")).alias(name)
-
-    new = [c for c in columns if c not in target.columns]
-    return joined.select(*[one(c) for c in [*target.columns, *new]])
+    fresh = staging.select(F.col(key).alias("_key"), F.struct(*columns).alias("_new"))
+    k = F.col(key)
+
+    def merged(joined: DataFrame) -> DataFrame:
+        matched = F.col("_new").isNotNull()
+
+        def one(name: str):
+            if name == key:
+                return F.coalesce(k, F.col("_key")).alias(key)
+            if name not in columns:
+                return F.col(name)
+            new = F.when(matched, F.col("_new")[name])
+            return (new.otherwise(F.col(name)) if name in target.columns else new).alias(name)
+
+        added = [c for c in columns if c not in target.columns]
+        return joined.select(*[one(c) for c in [*target.columns, *added]])
+
+    if staging.count() > small_rows:
+        return merged(target.join(fresh, k == F.col("_key"), "full_outer"))
+    small = F.broadcast(fresh)
+    updated = merged(target.join(small, k == F.col("_key"), "left"))
+    known = target.select(key).join(F.broadcast(staging.select(key)), key, "left_semi")
+    new_rows = staging.join(known, key, "left_anti").select(key, *columns)
+    return updated.unionByName(new_rows, allowMissingColumns=True)
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

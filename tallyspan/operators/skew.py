@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.session import ensure_checkpoint_dir
+from tallyspan.session import ensure_checkpoint_dir, materialise
 from tallyspan.spec import HOT_ROWS
 
 # At most this many keys are ever treated as hot, which bounds what split_hot
@@ -36,8 +36,20 @@ def null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{c}" for c in on])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
-    """Keys with more rows than one task should hold, or None if there are none.
+def join_small(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe join with a table that should be tiny; broadcast only if a count proves it.
+
+    Beyond the bound Spark chooses the join, with adaptive skew handling.
+    """
+    kept = materialise(small)
+    return null_safe(df, F.broadcast(kept) if kept.count() <= MAX_HOT_KEYS else kept, on, how)
+
+
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS, key_rows: int | None = None
+) -> DataFrame | None:
+    """Keys with more than ``key_rows`` rows, or None: always None if the whole input
+    has no more than ``hot_rows``.  ``key_rows`` is ``hot_rows`` unless given.
 
     The first count reads no columns and settles small inputs; the second is a
     map-side combined count of the key columns alone.
@@ -47,7 +59,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS
     total = df.count()
     if total <= hot_rows:
         return None
-    bar = max(hot_rows, total // MAX_HOT_KEYS)
+    bar = max(hot_rows if key_rows is None else min(key_rows, hot_rows), total // MAX_HOT_KEYS)
     found = df.groupBy(*keys).count().where(F.col("count") > bar).select(*keys)
     rows = found.collect()
     if not rows:
@@ -56,10 +68,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS, key_rows: int | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys, and rows of hot keys (None when there are none)."""
-    hot = hot_keys(df, keys, hot_rows)
+    hot = hot_keys(df, keys, hot_rows, key_rows)
     if hot is None:
         return df, None
     small = F.broadcast(hot)

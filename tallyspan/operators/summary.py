@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.operators.quantiles import grouped_quantiles
-from tallyspan.operators.skew import null_safe
+from tallyspan.operators.skew import join_small
 from tallyspan.spec import HOT_ROWS
 
 
@@ -115,8 +115,8 @@ def box_stats(
         F.col("quantiles")[1].alias("median"),
         F.col("quantiles")[2].alias("q3"),
     )
-    # one row per group and column: groups are classes, columns come from the schema
-    boxed = null_safe(values, quartiles, keys)
+    # one row per class and column; unsplit, such a join would send a class to one task
+    boxed = join_small(values, quartiles, keys)
     spread = 1.5 * (F.col("q3") - F.col("q1"))
     whiskered = boxed.groupBy(*keys, "q1", "median", "q3").agg(
         F.count(F.lit(1)).alias("n"),

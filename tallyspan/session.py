@@ -12,9 +12,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # median and collect aggregates keep one object per key; the default of 128
-    # keys per task makes them fall back to an extra sort almost at once
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

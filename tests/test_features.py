@@ -209,3 +209,12 @@ def test_events_hot_equals_usual(spark):
         for h in (None, 65)
     )
     pd.testing.assert_frame_equal(a, b[a.columns], check_dtype=False, rtol=1e-9)
+
+
+def test_bucketed_statements_are_not_shuffled(spark, statements):
+    from tallyspan.sources.writers import write_bucketed
+
+    write_bucketed(statements, "t_bucketed", "id", ["day", "seq"], 4)
+    built = build_features(spark.table("t_bucketed"), SPEC, hot_rows=None)
+    assert "Exchange" not in plan_of(built)
+    compared(built, naive(statements.toPandas(), False))

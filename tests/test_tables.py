@@ -287,13 +287,14 @@ def test_restrict_hot_not_asked_for(spark, history):
     assert refresh.restrict_to_keys(history, keys.limit(0), "id", hot_rows=5).count() == 0
 
 
-def test_upsert(spark):
+@pytest.mark.parametrize("small_rows", [0, 100])
+def test_upsert(spark, small_rows):
     target = spark.createDataFrame([("a", 1.0, 2.0), ("b", 3.0, 4.0)], "id string, p double, q double")
     fresh = spark.createDataFrame([("b", None, 9.0), ("c", 7.0, 8.0)], "id string, p double, r double")
-    once = refresh.upsert(target, fresh, "id")
+    once = refresh.upsert(target, fresh, "id", small_rows=small_rows)
     want = {("a", 1.0, 2.0, None), ("b", None, 4.0, 9.0), ("c", 7.0, None, 8.0)}
     assert {tuple(r) for r in once.collect()} == want
-    assert {tuple(r) for r in refresh.upsert(once, fresh, "id").collect()} == want
+    assert {tuple(r) for r in refresh.upsert(once, fresh, "id", small_rows=small_rows).collect()} == want
 
 
 def test_lookup(spark):
