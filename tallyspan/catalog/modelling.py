@@ -12,6 +12,7 @@ from tallyspan.operators.model import (
     search, tiered_score, train_final,
 )
 from tallyspan.operators.sampling import hash_split
+from tallyspan.session import materialise
 
 ROUNDS = 3
 SMALL = {"maxDepth": 3}
@@ -26,7 +27,7 @@ SMALL_SPACE = {
 
 
 def training_rows(spark, sf_dir) -> DataFrame:
-    """Labelled documents with counts over their whole text."""
+    """Labelled documents with counts over their whole text, which training reads repeatedly."""
     text = F.col("text")
     documents = table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "source", "n_chars",
@@ -36,7 +37,7 @@ def training_rows(spark, sf_dir) -> DataFrame:
         F.regexp_count(text, F.lit(r"[.!?]")).alias("n_stops"),
     )
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("target"))
-    return documents.join(labels, "doc_id")
+    return materialise(documents.join(labels, "doc_id"))
 
 
 @query("oof_predictions")
@@ -101,7 +102,8 @@ ORDER_FEATURES = ["o_totalprice_mean", "o_totalprice_last", "o_totalprice_std_3m
 
 def _orders_model(spark, sf_dir):
     labels = entity_labels(spark, sf_dir).withColumnRenamed("c_custkey", "o_custkey")
-    rows = attach_labels(build_features(orders(spark, sf_dir), OD_SPEC, ORDER_FEATURES), labels, "o_custkey", "inner")
+    features = build_features(orders(spark, sf_dir), OD_SPEC, ORDER_FEATURES)
+    rows = materialise(attach_labels(features, labels, "o_custkey", "inner"))
     return fit_model(rows, "o_custkey", "target", ORDER_FEATURES, [], ROUNDS, **SMALL), rows
 
 

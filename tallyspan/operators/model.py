@@ -28,7 +28,7 @@ from tallyspan.operators.importance import select_features
 from tallyspan.operators.refresh import tiered_lookup
 from tallyspan.operators.sampling import FOLDS, SEED, sample_n, stratified_folds
 from tallyspan.operators.skew import hash_rank
-from tallyspan.operators.summary import positive_weight
+from tallyspan.operators.summary import scale_pos_weight
 from tallyspan.session import ensure_checkpoint_dir, materialise
 from tallyspan.spec import HOT_ROWS, Spec, require_columns
 
@@ -41,6 +41,9 @@ SELECTOR_ROUNDS = 100
 FINAL_ROUNDS = 300
 CV_ROUNDS = 1000
 
+# Rows a training task should hold.
+ROWS_PER_TASK = 10_000
+
 # The search space, as (low, high, kind); "log" is log-uniform.
 SEARCH_SPACE = {
     "stepSize": (0.005, 0.3, "log"),
@@ -136,9 +139,16 @@ def _bins_for(encoded: PipelineModel) -> int:
 def prepare(
     df: DataFrame, key: str, target: str, numeric: Sequence[str], text: Sequence[str], keep: Sequence[str] = ()
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit the encoder and give (key, target, *keep, label, weight, vector) rows.  Positives
-    weigh as much as negatives in total."""
-    weight = positive_weight(df, target)
+    """Fit the encoder and give (key, target, *keep, label, weight, vector) rows.
+
+    Positives weigh as much as negatives in total.  Training reads the rows many times,
+    so they are dealt evenly over as many tasks as their number deserves, whatever the
+    partitioning they came with.
+    """
+    sizes = scale_pos_weight(df, target).first()
+    weight = sizes["scale_pos_weight"]
+    if weight is None:
+        raise ValueError("No positive examples in target.")
     shaped = with_inputs(df, numeric, text)
     encoded = encoder(numeric, text).fit(shaped)
     rows = encoded.transform(shaped).select(
@@ -147,7 +157,8 @@ def prepare(
         F.when(F.col(target) == 1, F.lit(float(weight))).otherwise(1.0).alias(WEIGHT),
         FEATURES,
     )
-    return encoded, rows
+    tasks = math.ceil((sizes["positives"] + sizes["negatives"]) / ROWS_PER_TASK)
+    return encoded, rows.repartition(max(1, tasks), key)
 
 
 def importance_rows(spark, classifier, names: Sequence[str], **tags) -> DataFrame:
@@ -176,6 +187,60 @@ class CrossValidation:
         return fold, self.models[family, fold]
 
 
+@dataclass(frozen=True)
+class FoldData:
+    """Encoded training rows with their fold, prepared once for any number of fits."""
+
+    key: str
+    target: str
+    numeric: list[str]
+    text: list[str]
+    folds: int
+    encoded: PipelineModel
+    rows: DataFrame
+
+    @staticmethod
+    def of(df: DataFrame, key: str, target: str, folds: int, seed: int) -> FoldData:
+        ensure_checkpoint_dir(df.sparkSession)  # boosting cuts its lineage there
+        numeric, text, typed = split_features_target(df, key, target)
+        placed = materialise(stratified_folds(typed, key, target, folds, seed))
+        encoded, rows = prepare(placed, key, target, numeric, text, keep=["fold"])
+        return FoldData(key, target, numeric, text, folds, encoded, rows.persist(StorageLevel.MEMORY_AND_DISK))
+
+    def fit(self, family: str, fold: int, rounds: int, params: Mapping):
+        """(model, held-out scores, importance, seconds) of one family without one fold."""
+        start = time.perf_counter()
+        learner = FAMILIES[family](rounds, **{"maxBins": _bins_for(self.encoded), **params})
+        held_out = F.col("fold") == fold
+        if isinstance(learner, GBTClassifier):
+            model = learner.setValidationIndicatorCol(HELD_OUT).fit(self.rows.withColumn(HELD_OUT, held_out))
+        else:
+            model = learner.fit(self.rows.where(~held_out))
+        spent = time.perf_counter() - start
+        scored = model.transform(self.rows.where(held_out)).select(
+            self.key, self.target, vector_to_array("probability")[1].alias("prediction"), "fold",
+            F.lit(family).alias("model"),
+        )
+        names = [*self.numeric, *self.text]
+        weights = importance_rows(self.rows.sparkSession, model, names, model=family, fold=fold)
+        return RiskModel(PipelineModel([*self.encoded.stages, model]), self.numeric, self.text), scored, weights, spent
+
+    def run(
+        self, families: Sequence[str], rounds: int, params: Mapping[str, Mapping], parallelism: int
+    ) -> CrossValidation:
+        jobs = [(family, fold) for family in families for fold in range(1, self.folds + 1)]
+        one = lambda job: self.fit(*job, rounds, params.get(job[0], {}))
+        with ThreadPoolExecutor(max(1, parallelism)) as pool:
+            done = list(pool.map(inheritable_thread_target(self.rows.sparkSession)(one), jobs))
+        models, scored, weights, seconds = zip(*done)
+        return CrossValidation(
+            oof=materialise(reduce(DataFrame.unionByName, scored)),
+            importance=reduce(DataFrame.unionByName, weights),
+            models=dict(zip(jobs, models)),
+            training_seconds=sum(seconds),
+        )
+
+
 def cross_validate(
     df: DataFrame,
     key: str,
@@ -186,7 +251,7 @@ def cross_validate(
     rounds: int = CV_ROUNDS,
     params: Mapping[str, Mapping] | None = None,
     seed: int = SEED,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> CrossValidation:
     """Out-of-fold scores of every row for every model family.
 
@@ -194,45 +259,11 @@ def cross_validate(
     driver only loops over folds and families; every fit and transform is a Spark job
     over the same cached vectors, ``parallelism`` of them at a time.
     """
-    numeric, text, typed = split_features_target(df, key, target)
-    placed = stratified_folds(typed, key, target, folds, seed)
-    encoded, rows = prepare(placed, key, target, numeric, text, keep=["fold"])
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    bins = _bins_for(encoded)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)  # boosting cuts its lineage there
-    names = [*numeric, *text]
-
-    def fit(family: str, fold: int):
-        start = time.perf_counter()
-        options = {"maxBins": bins, **(params or {}).get(family, {})}
-        learner = FAMILIES[family](rounds, **options)
-        held_out = F.col("fold") == fold
-        if isinstance(learner, GBTClassifier):
-            learner = learner.setValidationIndicatorCol(HELD_OUT)
-            model = learner.fit(rows.withColumn(HELD_OUT, held_out))
-        else:
-            model = learner.fit(rows.where(~held_out))
-        spent = time.perf_counter() - start
-        scored = model.transform(rows.where(held_out)).select(
-            key, target, vector_to_array("probability")[1].alias("prediction"), "fold",
-            F.lit(family).alias("model"),
-        )
-        whole = RiskModel(PipelineModel([*encoded.stages, model]), numeric, text)
-        return (family, fold), whole, scored, importance_rows(spark, model, names, model=family, fold=fold), spent
-
-    jobs = [(family, fold) for family in families for fold in range(1, folds + 1)]
-    with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        done = list(pool.map(inheritable_thread_target(spark)(lambda job: fit(*job)), jobs))
-    union = lambda frames: reduce(DataFrame.unionByName, frames)
-    oof = materialise(union([d[2] for d in done]))
-    rows.unpersist()
-    return CrossValidation(
-        oof=oof,
-        importance=union([d[3] for d in done]),
-        models={d[0]: d[1] for d in done},
-        training_seconds=sum(d[4] for d in done),
-    )
+    data = FoldData.of(df, key, target, folds, seed)
+    try:
+        return data.run(families, rounds, params or {}, parallelism)
+    finally:
+        data.rows.unpersist()
 
 
 def fit_model(
@@ -366,20 +397,21 @@ def search(
     metric: str = "roc_auc",
     space: Mapping = SEARCH_SPACE,
     seed: int = SEED,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Random search: (trial, params, mean metrics over folds, score, best) for every trial."""
     if metric not in ("roc_auc", "pr_auc"):
         raise ValueError("The search metric is roc_auc or pr_auc.")
+    data = FoldData.of(df, key, target, folds, seed)
     results = []
-    for trial in range(trials):
-        params = draw_params(trial, seed, space)
-        run = cross_validate(
-            df, key, target, families=["boosted_trees"], folds=folds, rounds=rounds,
-            params={"boosted_trees": params}, seed=seed, parallelism=parallelism,
-        )
-        means = run.fold_metrics(target).agg(*[F.avg(m).alias(m) for m in FOLD_METRICS]).first()
-        results.append((trial, json.dumps(params), *[means[m] for m in FOLD_METRICS]))
+    try:
+        for trial in range(trials):
+            params = draw_params(trial, seed, space)
+            run = data.run(["boosted_trees"], rounds, {"boosted_trees": params}, parallelism)
+            means = run.fold_metrics(target).agg(*[F.avg(m).alias(m) for m in FOLD_METRICS]).first()
+            results.append((trial, json.dumps(params), *[means[m] for m in FOLD_METRICS]))
+    finally:
+        data.rows.unpersist()
     schema = "trial int, params string, " + ", ".join(f"mean_{m} double" for m in FOLD_METRICS)
     table = df.sparkSession.createDataFrame(results, schema).withColumn("score", F.col(f"mean_{metric}"))
     values = [r[2 + FOLD_METRICS.index(metric)] for r in results]
