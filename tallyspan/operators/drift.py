@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.scalar import coerce_numeric
 from tallyspan.operators.quantiles import grouped_quantiles
+from tallyspan.session import materialise
 from tallyspan.spec import HOT_ROWS, infer_continuous
 
 # Drift threshold, number of bins, and the share that stands in for an empty bin.
@@ -67,7 +68,7 @@ def binned_counts(
     are broadcast and no value is shuffled before it is counted.
     """
     base = long_values(baseline, columns)
-    edges = quantile_edges(base, bins, hot_rows)
+    edges = materialise(quantile_edges(base, bins, hot_rows))  # read twice below
     both = base.withColumn("_current", F.lit(False)).unionByName(
         long_values(current, columns).withColumn("_current", F.lit(True))
     )
@@ -76,13 +77,13 @@ def binned_counts(
     place = F.when(inside, _bin(F.col("v"), e, bins)).otherwise(OUTSIDE)
     counted = (
         both.join(F.broadcast(edges), "feature_name", "left")
-        .groupBy("feature_name", "edges", F.col("_current").alias("current"), place.alias("bin"))
+        .groupBy("feature_name", F.col("_current").alias("current"), place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return counted.groupBy("feature_name").agg(
-        F.any_value("edges").alias("edges"),
-        F.collect_list(F.struct("current", "bin", "n")).alias("counts"),
+    packed = counted.groupBy("feature_name").agg(
+        F.collect_list(F.struct("current", "bin", "n")).alias("counts")
     )
+    return packed.join(F.broadcast(edges), "feature_name", "left")
 
 
 def _count(current: bool, bin_number: Column | None = None) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.operators.skew import SLICE, null_safe, ordered_slices, slice_totals, split_hot
+from tallyspan.operators.skew import CELL, SLICE, cell, ordered_slices, slice_totals, split_hot
 from tallyspan.spec import HOT_ROWS, Spec
 
 FROM_START = "_rn_asc"
@@ -59,13 +59,13 @@ def _sequence_sliced(df: DataFrame, spec: Spec, lagged: Column | None) -> DataFr
     extra = [] if spec.unique_order else [F.xxhash64(*df.columns), F.col("_copy")]
     order = [*spec.order(), *extra]
     sliced = ordered_slices(rows, [F.col(spec.id), *order])
-    inside = Window.partitionBy(SLICE, spec.id).orderBy(*order)
-    local = sliced.select(
+    inside = Window.partitionBy(CELL).orderBy(*order)
+    local = sliced.withColumn(CELL, cell([spec.id])).select(
         "*",
         F.row_number().over(inside).alias("_at"),
         *([F.lag(lagged).over(inside).alias("_inside")] if lagged is not None else []),
     )
-    edges = slice_totals(sliced, [spec.id], {"_n": F.count(F.lit(1))})
+    edges = slice_totals(sliced, [spec.id], {"_n": F.count(F.lit(1))}).drop(spec.id)
     columns = [
         *df.columns,
         (F.col("_n_before") + F.col("_at")).alias(FROM_START),
@@ -77,12 +77,11 @@ def _sequence_sliced(df: DataFrame, spec: Spec, lagged: Column | None) -> DataFr
             F.max_by(F.struct(lagged.alias("v")), tail_order).alias("_tail")
         )
         carried = F.lag("_tail").over(Window.partitionBy(spec.id).orderBy(SLICE))
-        tails = tails.select(spec.id, SLICE, carried.alias("_carried"))
-        edges = null_safe(edges, tails, [spec.id, SLICE])
+        edges = edges.join(tails.select(cell([spec.id]), carried.alias("_carried")), CELL)
         columns.append(
             F.when(F.col("_at") == 1, F.col("_carried.v")).otherwise(F.col("_inside")).alias(PREVIOUS)
         )
-    return null_safe(local, edges, [spec.id, SLICE]).select(*columns)
+    return local.join(edges, CELL).select(*columns)
 
 
 def number_copies(df: DataFrame) -> DataFrame:

@@ -22,6 +22,9 @@ from tallyspan.spec import HOT_ROWS
 MAX_HOT_KEYS = 100_000
 
 SLICE = "_slice"
+# (group, slice) as one value.  A struct is never NULL even if the group is, so windows
+# and plain equi-joins both hash on it, and a join after a window moves nothing.
+CELL = "_cell"
 
 
 def null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -91,8 +94,12 @@ def ordered_slices(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     )
 
 
+def cell(by: Sequence[str]) -> Column:
+    return F.struct(*by, SLICE).alias(CELL)
+
+
 def slice_totals(sliced: DataFrame, by: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
-    """Per (by, slice): what lies before the slice (``{name}_before``) and in all of it
+    """Per cell: what lies before the slice (``{name}_before``) and in the whole group
     (``{name}_total``).  A group spans few slices, so this table has at most
     #slices + #groups rows."""
     per_slice = sliced.groupBy(*by, SLICE).agg(*[c.alias(n) for n, c in sums.items()])
@@ -101,7 +108,7 @@ def slice_totals(sliced: DataFrame, by: Sequence[str], sums: Mapping[str, Column
     whole = Window.partitionBy(*group)
     return per_slice.select(
         *by,
-        SLICE,
+        cell(by),
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in sums],
         *[F.sum(n).over(whole).alias(f"{n}_total") for n in sums],
     )
@@ -113,19 +120,17 @@ def running_sums(
     """Inclusive running sums of ``sums`` within ``by`` along ``order``.
 
     Adds ``{name}_cum`` and ``{name}_total``.  ``order`` must be unique within
-    ``by``.  Both windows, and the join between them, hash on (by, slice), so a
-    single group of any size still spreads over all tasks.
+    ``by``.  The window, and the join after it, hash on the cell, so a single group of
+    any size still spreads over all tasks.
     """
     sliced = ordered_slices(df, [*[F.col(c) for c in by], *order])
-    offsets = slice_totals(sliced, by, {s: F.sum(s) for s in sums})
+    offsets = slice_totals(sliced, by, {s: F.sum(s) for s in sums}).drop(*by)
     inside = (
-        Window.partitionBy(*by, SLICE)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = sliced.select("*", *[F.sum(s).over(inside).alias(f"{s}_cum") for s in sums])
-    joined = null_safe(local, offsets, [*by, SLICE])
-    return joined.select(
+    celled = sliced.select(*df.columns, cell(by))
+    local = celled.select("*", *[F.sum(s).over(inside).alias(f"{s}_cum") for s in sums])
+    return local.join(offsets, CELL).select(
         *df.columns,
         *[(F.col(f"{s}_cum") + F.col(f"{s}_before")).alias(f"{s}_cum") for s in sums],
         *[F.col(f"{s}_total") for s in sums],
@@ -164,8 +169,9 @@ def hash_rank(
     )
     if limit is not None:
         offsets = offsets.where(F.col("_n_before") < limit)
-    inside = Window.partitionBy(*by, SLICE).orderBy("_hash", *id_columns)
-    ranked = null_safe(keyed, offsets, [*by, SLICE]).select(
+    inside = Window.partitionBy(CELL).orderBy("_hash", *id_columns)
+    joined = keyed.withColumn(CELL, cell(by)).join(offsets.drop(*by), CELL)
+    ranked = joined.select(
         *df.columns,
         (F.row_number().over(inside) + F.col("_n_before")).alias(rank),
         f"{rank}_of",

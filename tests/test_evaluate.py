@@ -100,7 +100,7 @@ def test_pr_points(oof, data):
 def test_curve_runs_in_slices(oof):
     plan = plan_of(score_curve(oof, "target", "prediction"))
     windows = [line for line in plan.splitlines() if "Window [" in line and "pos_cum" in line]
-    assert windows and all("_slice" in line for line in windows)
+    assert windows and all("_cell" in line for line in windows)
 
 
 def test_best_fold(spark):

@@ -33,7 +33,17 @@ def test_running_sums_spread_one_group(numbers):
     """No window over the rows sits in a single partition."""
     plan = plan_of(running_sums(numbers, [], [F.col("i").asc()], ["w"]))
     rows_windows = [line for line in plan.splitlines() if "Window [" in line and "w_cum" in line]
-    assert rows_windows and all("_slice" in line for line in rows_windows)
+    assert rows_windows and all("_cell" in line for line in rows_windows)
+
+
+def test_join_after_window_moves_nothing(spark, numbers):
+    """Even as a sort-merge join: one exchange of the rows, one of the small totals."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (running_sums(numbers, ["g"], [F.col("i").asc()], ["w"]), hash_rank(numbers, ["g"], ["i"], 1)):
+            assert plan_of(df).count("Exchange hashpartitioning(_cell") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_running_sums_null_group(spark):
