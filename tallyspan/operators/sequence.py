@@ -15,10 +15,11 @@ COPY_BLOCK = 1_000_000
 
 
 def sequence_parts(
-    df: DataFrame, spec: Spec, lagged: Column | None = None, hot_rows: int | None = HOT_ROWS
+    df: DataFrame, spec: Spec, lagged: Column | None = None, hot_rows: int | None = HOT_ROWS,
+    key_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """``with_sequence`` kept apart for ordinary and for hot entities."""
-    usual, hot = split_hot(df, [spec.id], hot_rows)
+    usual, hot = split_hot(df, [spec.id], hot_rows, key_rows)
     return _sequence(usual, spec, lagged), None if hot is None else _sequence_sliced(hot, spec, lagged)
 
 
