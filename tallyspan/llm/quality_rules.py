@@ -27,7 +27,7 @@ MIN_GROUP = 200
 FENCE = 3
 # Measures in integer units (see ``measured``), and what is added to each fence so that a
 # group whose documents are all alike does not reject the first that differs a little.
-SLACK = {"symbols_rate": 100, "dup_line_rate": 150, "repeat_rate": 150, "word_length": 100}
+SLACK = {"symbols_rate": 100, "dup_line_rate": 500, "repeat_rate": 300, "word_length": 100}
 TWO_SIDED = ("word_length",)
 
 
