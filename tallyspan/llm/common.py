@@ -59,3 +59,16 @@ def words_of(text: Column) -> Column:
     """Array of the words of a text that is not NULL; empty for a text without words."""
     bare = F.btrim(text, F.lit(SPACE))
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN))
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows and bytes handed to Python at once: texts may be very long, and the
+    defaults could put thousands of them into one batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
+def row_keys(df: DataFrame, name: str) -> DataFrame:
+    """Adds a key that tells equal rows apart.  It depends on the input splits alone, so a
+    recomputed task gives the same keys; use it on what comes straight from a scan."""
+    return df.withColumn(name, F.monotonically_increasing_id())

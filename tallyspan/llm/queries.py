@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspan.llm import chat_format, quality_rules
+from tallyspan.llm import bpe, chat_format, quality_rules, simhash
 from tallyspan.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
