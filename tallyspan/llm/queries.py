@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspan.llm import automaton_dedup, bpe, chat_format, quality_rules, simhash, suffix_dedup
+from tallyspan.llm import automaton_dedup, bpe, chat_format, decontaminate, quality_rules, simhash, suffix_dedup, toxicity
 from tallyspan.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
