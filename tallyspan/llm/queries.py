@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from tallyspan.llm import automaton_dedup, bpe, chat_format, decontaminate, quality_rules, simhash, suffix_dedup, toxicity
+from tallyspan.llm import (
+    automaton_dedup,
+    bpe,
+    chat_format,
+    decontaminate,
+    html_text,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 from tallyspan.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
