@@ -45,19 +45,16 @@ class SuffixAutomaton:
             last = self._extend(last, unit)
             self.count[last] += 1
 
-    def _state(self, following: dict, link: int, length: int) -> int:
-        self.next.append(following)
-        self.link.append(link)
-        self.length.append(length)
-        self.count.append(0)
-        return len(self.length) - 1
-
     def _extend(self, last: int, unit) -> int:
         after, link, length = self.next, self.link, self.length
         known = after[last].get(unit)
         if known is not None:
             return known if length[known] == length[last] + 1 else self._split(last, unit, known)
-        new = self._state({}, 0, length[last] + 1)
+        new = len(length)
+        after.append({})
+        link.append(0)
+        length.append(length[last] + 1)
+        self.count.append(0)
         p = last
         while p >= 0 and unit not in after[p]:
             after[p][unit] = new
@@ -69,7 +66,11 @@ class SuffixAutomaton:
 
     def _split(self, p: int, unit, q: int) -> int:
         after, link = self.next, self.link
-        twin = self._state(dict(after[q]), link[q], self.length[p] + 1)
+        twin = len(link)
+        after.append(after[q].copy())
+        link.append(link[q])
+        self.length.append(self.length[p] + 1)
+        self.count.append(0)
         link[q] = twin
         while p >= 0 and after[p].get(unit) == q:
             after[p][unit] = twin

@@ -5,8 +5,9 @@
 2. Segments whose anchor occurs once hold no repeated window and are dropped.
 3. Equal segments repeat window for window.  They are settled by one aggregation.
 4. Where different segments share an anchor, their bytes are compared: shards of such
-   segments, dealt by anchor, go to the operator's own index.  An anchor with very many
-   different segments would crowd one shard; its windows are hashed and aggregated instead.
+   segments, dealt by anchor, go to the operator's own index.  The segments of an anchor that
+   has very many are spread over shards; what their shards find different is then
+   compared across shards by window hashes, one row for each window and shard.
 5. The repeated spans of each text are joined back to it.
 
 Texts travel compressed, once to cut out the bytes of step 4 and once for step 5.  Hashes:
@@ -21,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -197,33 +199,60 @@ def repeated_spans(
     classes = kept(groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("g")).where("g > 1"))
     open_ = kept(
         groups.join(classes, "anchor").select(
-            "anchor", F.col("head.key").alias("key"), F.col("head.first").alias("first"), "shape", (F.col("g") > CROWDED).alias("hot")
+            "anchor", F.col("head.key").alias("key"), F.col("head.first").alias("first"), "shape", F.col("g").alias("among")
         )
     )
     forget(classes)
-    pieces = kept(segment_bytes(docs, open_, unit))
+    pieces = segment_bytes(docs, open_, unit)
     shards = max(1, math.ceil(open_.count() / SHARD_SEGMENTS))
-    forget(open_)
-    spans = "key bigint, first bigint, n bigint"
-    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
-    compared = (
-        pieces.where("NOT hot").select("anchor", "key", "first", "shape", "body", shard)
-        .groupBy("shard").applyInArrow(lambda group: shard_repeats(group, unit), spans)
+    # the segments of a crowded anchor are spread, some hundreds to a place
+    spread = F.pmod(F.xxhash64("key", "first"), F.ceil(F.col("among") / F.lit(CROWDED)))
+    shard = F.pmod(F.xxhash64("anchor", spread), F.lit(shards)).alias("shard")
+
+    def compare(group: pa.Table) -> pa.Table:
+        """Windows repeated within the shard; of crowded anchors also one row for each
+        different window, as an equal one may lie in another shard."""
+        spans = shard_repeats(group, unit)
+        crowd = group.filter(pc.greater(group["among"], CROWDED))
+        nulls = pa.nulls(spans.num_rows, pa.int64())
+        return pa.concat_tables([spans.append_column("w1", nulls).append_column("w2", nulls), different_windows(crowd, unit)])
+
+    compared = kept(
+        pieces.select("anchor", "key", "first", "shape", "among", "body", shard)
+        .groupBy("shard").applyInArrow(compare, "key bigint, first bigint, n bigint, w1 bigint, w2 bigint")
     )
-    windows = crowded_windows(pieces.where("hot"), unit)
+    forget(open_)
+    windows = compared.where("w1 IS NOT NULL")
     heads = windows.groupBy("w1", "w2").agg(F.min(F.struct("key", "first")).alias("head"), F.count(F.lit(1)).alias("c"))
     heads = kept(heads.where("c > 1").drop("c"))
     crowd = windows.join(heads, ["w1", "w2"])
     if later_only:
         crowd = crowd.where(F.struct("key", "first") != F.col("head"))
-    return settled.union(compared).union(
-        crowd.select("key", "first", F.lit(1).cast("long"))
-    )
+    spans = ("key", "first", "n")
+    return settled.union(compared.where("w1 IS NULL").select(*spans)).union(crowd.select(*spans))
+
+
+def different_windows(group: pa.Table, unit: Unit) -> pa.Table:
+    """One row for each different window of some segments, for its earliest place."""
+    out = [np.zeros(0, np.int64)] * 4
+    if group.num_rows:
+        group = group.sort_by([("key", "ascending"), ("first", "ascending")])
+        found = []
+        for key, first, shape, body in zip(*(group[c].to_pylist() for c in ("key", "first", "shape", "body"))):
+            n = shape & 65535
+            w1, w2 = window_hashes(body, n, unit)
+            found.append((np.full(n, key), np.arange(first, first + n), w1, w2))
+        rows = [np.concatenate(c) for c in zip(*found)]
+        _, at = np.unique(np.stack(rows[2:], axis=1), axis=0, return_index=True)
+        out = [c[at] for c in rows]
+    key, first, w1, w2 = out
+    columns = {"key": key, "first": first, "n": np.ones(len(key), np.int64), "w1": w1, "w2": w2}
+    return pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()})
 
 
 def segment_bytes(docs: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
     """Adds the bytes of segments.  A text's list is bounded by the text's own length."""
-    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "shape", "hot")).alias("places"))
+    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "shape", "among")).alias("places"))
     joined = packed(docs, "text").join(lists, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,30 +260,16 @@ def segment_bytes(docs: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
             rows = zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), batch.column("places").to_pylist())
             out = []
             for key, text, places in rows:
-                out += [(p["anchor"], key, p["first"], p["shape"], p["hot"], b) for p, b in zip(places, cut_out(unpack(text), places, unit))]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+                out += [(p["anchor"], key, p["first"], p["shape"], p["among"], b) for p, b in zip(places, cut_out(unpack(text), places, unit))]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
             columns = zip(*out) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "key", "first", "shape", "hot", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "key", "first", "shape", "among", "body"])
 
     return joined.select("key", "text", "places").mapInArrow(
-        run, "anchor bigint, key bigint, first bigint, shape int, hot boolean, body binary"
+        run, "anchor bigint, key bigint, first bigint, shape int, among bigint, body binary"
     )
 
 
-def crowded_windows(pieces: DataFrame, unit: Unit) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, first, shape, body in zip(*(batch.column(c).to_pylist() for c in ("key", "first", "shape", "body"))):
-                n = shape & 65535
-                w1, w2 = window_hashes(body, n, unit)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(w1), pa.array(w2), pa.array(np.full(n, key, np.int64)), pa.array(np.arange(first, first + n))],
-                    ["w1", "w2", "key", "first"],
-                )
-
-    return pieces.select("key", "first", "shape", "body").mapInArrow(run, "w1 bigint, w2 bigint, key bigint, first bigint")
-
-
 def may_repeat(group: pa.Table, unit: Unit) -> np.ndarray:
     """Which segments of a shard can repeat at all.
 

@@ -165,31 +165,38 @@ def induce_one_by_one(s: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, alphab
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, first: np.ndarray, size: np.ndarray, limit: int) -> np.ndarray:
-    """Permuted common prefixes: for each place, how much its suffix shares with the one
-    before it in ``order``, up to ``limit``.
+    """Permuted common prefixes: for the first ``size`` places of each piece (they begin at
+    ``first``), how much the suffix there shares with the one before it in ``order``, up to
+    ``limit``; 0 elsewhere.
 
     Along a text the value falls by at most one from place to place.  The walk goes through
-    all pieces (``first``, ``size``) side by side, one place at a time.
+    all pieces side by side, one place at a time, and compares four values at once.
     """
     n = len(text)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    padded = np.concatenate([text, np.full(limit + 1, -1, text.dtype)])
+    padded = np.concatenate([text, np.full(limit + 8, 65535)]).astype(np.uint64)
+    four = padded[:-3] | padded[1:-2] << np.uint64(16) | padded[2:-1] << np.uint64(32) | padded[3:] << np.uint64(48)
     out = np.zeros(n, np.int64)
     held = np.zeros(len(first), np.int64)
     by_size = np.argsort(-size, kind="stable")
-    first, sorted_size = first[by_size], size[by_size]
-    for t in range(int(sorted_size[0]) if len(size) else 0):
-        live = int(np.searchsorted(-sorted_size, -t, "left"))
+    first, falling = first[by_size], -size[by_size]
+    for t in range(int(-falling[0]) if len(size) else 0):
+        live = int(np.searchsorted(falling, -t, "left"))
         place = first[:live] + t
         other = before[place]
         length = np.maximum(held[:live] - 1, 0)
         length[other < 0] = 0
         going = np.nonzero(other >= 0)[0]
-        while len(going):
-            more = (length[going] < limit) & (padded[place[going] + length[going]] == padded[np.minimum(other[going] + length[going], n)])
-            going = going[more]
-            length[going] += 1
+        for values, step in ((four, 4), (padded, 1)):
+            rest = going
+            while len(rest):
+                along = length[rest]
+                same = (along + step <= limit) & (
+                    values[np.minimum(place[rest] + along, n)] == values[np.minimum(other[rest] + along, n + 1)]
+                )
+                rest = rest[same]
+                length[rest] += step
         held[:live] = length
         out[place] = length
     return out

@@ -41,16 +41,15 @@ def later_windows(group: pa.Table, unit: Unit) -> pa.Table:
     first = np.cumsum(size + 1) - size - 1
     text[first + size] = 0
     order = suffix_array(text, 257)
-    shared = common_prefixes(text, order, first, size, unit.width)
-    # windows in suffix order; those that share the width with the one before form a class
+    shared = common_prefixes(text, order, first, size - unit.width + 1, unit.width)
     piece_of = np.repeat(np.arange(len(size)), size + 1)
     is_window = np.arange(len(text)) - first[piece_of] <= size[piece_of] - unit.width
+    # what lies between equal windows in suffix order begins like them, so it is an equal
+    # window as well: a class begins where a window shares less with what stands before it
     ranks = np.nonzero(is_window[order])[0]
     windows = order[ranks]
-    # the smallest common prefix between two windows next to each other in this order
-    along = np.minimum.reduceat(shared[order], np.append(ranks[:-1] + 1, len(order) - 1)) if len(ranks) > 1 else np.zeros(len(ranks))
-    new = np.ones(len(windows), bool)
-    new[1:] = along[: len(windows) - 1] < unit.width
+    new = shared[windows] < unit.width
+    new[0] = True
     # pieces stand in document order, so the smallest place of a class is the earliest
     starts = np.nonzero(new)[0]
     earliest = np.repeat(np.minimum.reduceat(windows, starts), np.diff(starts, append=len(windows)))
