@@ -30,11 +30,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from tallyspan.llm.common import query, row_keys, small_batches, table
 
 VOCABULARY = "byte_bpe_50k"
-LEAF = 8192
+LEAF = 16384
 FIRST_WINDOW = 32
 AGREE = 4
 
@@ -161,13 +162,14 @@ def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str
     """Adds ``ids``, the packed tokens of every whole text.
 
     Texts of one piece are encoded where they are read.  Only longer ones are dealt out:
-    their pieces by (row, piece), then pieces and tokens by row.
+    their pieces by (row, piece), then their tokens by row.
     """
     path = path or vocabulary_path()
     small_batches(df.sparkSession)
     fields = {f"c{i}": c for i, c in enumerate(df.columns)}
     plain = df.toDF(*fields)
     body = next(k for k, c in fields.items() if c == text)
+    others = [k for k in fields if k != body]
     plain = plain.withColumn(body, F.coalesce(F.col(body), F.lit("")))
     is_long = F.length(body) > leaf
 
@@ -194,27 +196,32 @@ def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str
                 )
 
     def encode_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Tokens of pieces; the text itself stays behind, tokens decode to it."""
         coder, _ = encoding(path)
         for batch in batches:
             packed = [encode_piece(coder, t).astype("<u4").tobytes() for t in batch.column(body).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packed, pa.binary())], [*batch.schema.names, "ids"])
+            rest = [batch.column(name) for name in ("row", "piece", *others)]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(packed, pa.binary())], ["row", "piece", *others, "ids"])
 
     def tree(group: pa.Table) -> pa.Table:
         coder, lengths = encoding(path)
         group = group.sort_by("piece")
-        texts = group[body].to_pylist()
-        tokens = join_all(coder, lengths, [(t, np.frombuffer(p, "<u4")) for t, p in zip(texts, group["ids"].to_pylist())])
+        tokens = [np.frombuffer(p, "<u4") for p in group["ids"].to_pylist()]
+        texts = [coder.decode_bytes(t.tolist()).decode() for t in tokens]
+        whole = join_all(coder, lengths, list(zip(texts, tokens)))
         first = group.slice(0, 1)
         columns = [pa.array(["".join(texts)], pa.string()) if name == body else first[name] for name in fields]
-        return pa.table([*columns, pa.array([tokens.astype("<u4").tobytes()], pa.binary())], [*fields, "ids"])
+        return pa.table([*columns, pa.array([whole.astype("<u4").tobytes()], pa.binary())], [*fields, "ids"])
 
-    listed = plain.schema.simpleString()[7:-1]
-    direct = plain.where(~is_long).mapInArrow(short, f"{listed}, ids binary")
+    row, ids_field = [StructField("row", LongType()), StructField("piece", LongType())], StructField("ids", BinaryType())
+    whole_row = StructType([*plain.schema.fields, ids_field])
+    without_text = StructType([*row, *[plain.schema[c] for c in others], ids_field])
+    direct = plain.where(~is_long).mapInArrow(short, whole_row)
     long = (
         row_keys(plain, "row").where(is_long).select("row", *fields)
-        .mapInArrow(cut, f"row bigint, piece bigint, {listed}").repartition("row", "piece")
-        .mapInArrow(encode_leaves, f"row bigint, piece bigint, {listed}, ids binary")
-        .groupBy("row").applyInArrow(tree, f"{listed}, ids binary")
+        .mapInArrow(cut, StructType([*row, *plain.schema.fields])).repartition("row", "piece")
+        .mapInArrow(encode_leaves, without_text)
+        .groupBy("row").applyInArrow(tree, whole_row)
     )
     return direct.unionByName(long).toDF(*df.columns, ids)
 
@@ -237,7 +244,8 @@ def decode(df: DataFrame, path: str | None = None, ids: str = "ids", text: str =
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*fields, "text"])
 
     plain = df.toDF(*fields)
-    return plain.mapInArrow(read, f"{plain.schema.simpleString()[7:-1]}, text string").toDF(*df.columns, text)
+    schema = StructType([*plain.schema.fields, StructField("text", StringType())])
+    return plain.mapInArrow(read, schema).toDF(*df.columns, text)
 
 
 def encoded_digests(docs: DataFrame) -> DataFrame:
