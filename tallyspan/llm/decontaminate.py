@@ -150,15 +150,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = f"doc_id {id_type}, item_id {item_type}, similarity double, start_word bigint, n_words bigint"
     out = None
     for part in range(parts):
-        rows = numbered.where(F.col("_part") == part).select("item_id", "text").collect()
-        found = docs.select("doc_id", "text").mapInArrow(_finder([r[0] for r in rows], [r[1] for r in rows]), schema)
+        rows = numbered.where(F.col("_part") == part).select("item_id", "text").toArrow()
+        found = docs.select("doc_id", "text").mapInArrow(_finder(rows), schema)
         out = found if out is None else out.union(found)
     return out
 
 
-def _finder(ids: list, texts: list[str]):
+def _finder(block: pa.Table):
+    ids, texts = block["item_id"].combine_chunks(), block["text"].to_pylist()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(ids, texts)
+        items = Items(list(range(len(texts))), texts)
         for batch in batches:
             keys, out = batch.column(0), []
             rows = [(i, t.lower().encode()) for i, t in enumerate(batch.column(1).to_pylist()) if t]
@@ -170,8 +172,7 @@ def _finder(ids: list, texts: list[str]):
             i, item, s, start, n = zip(*out) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [
-                    keys.take(pa.array(i, pa.int64())), pa.array(item, pa.int64() if not ids or isinstance(ids[0], int) else None),
-                    pa.array(s, pa.float64()), pa.array(start, pa.int64()), pa.array(n, pa.int64()),
+                    keys.take(pa.array(i, pa.int64())), ids.take(pa.array(item, pa.int64())), pa.array(s, pa.float64()), pa.array(start, pa.int64()), pa.array(n, pa.int64()),
                 ],
                 ["doc_id", "item_id", "similarity", "start_word", "n_words"],
             )
