@@ -107,7 +107,7 @@ OL_SPEC = Spec(
     "o_custkey", "o_orderdate",
     ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"),
     continuous=("l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice"),
-    categorical=("l_returnflag", "l_linestatus"),
+    categorical=("l_returnflag", "l_linestatus"), unique_order=True,
 )
 OL_SQL = "ol AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
 

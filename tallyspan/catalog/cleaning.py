@@ -174,11 +174,12 @@ def raw_columns_query(spark, sf_dir):
 
 @query(
     "duplicate_count",
-    """SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS BIGINT)
-  AS duplicates FROM lineitem""",
+    """WITH doubled AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 5 = 0)
+SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM doubled)) AS BIGINT) AS duplicates FROM doubled""",
 )
 def duplicate_count_query(spark, sf_dir):
-    return duplicate_count(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+    lines = table(spark, sf_dir, "lineitem")
+    return duplicate_count(lines.union(lines.where(F.col("l_orderkey") % 5 == 0)))
 
 
 @query(

@@ -162,13 +162,17 @@ def best_fold_rows_query(spark, sf_dir):
 
 @query(
     "standardize_oof",
-    f"""WITH {SCORED_SQL} SELECT doc_id, target, prediction, -1 AS fold, 'lightgbm' AS model FROM scored WHERE model = 'length'""",
+    f"""WITH {SCORED_SQL} SELECT doc_id, target, prediction, -1 AS fold,
+  CASE model WHEN 'length' THEN 'lightgbm' ELSE 'xgboost' END AS model FROM scored""",
 )
 def standardize_oof_query(spark, sf_dir):
-    old = scored(spark, sf_dir).where("model = 'length'").select(
-        "doc_id", "target", F.col("prediction").alias("lgbm_oof")
+    rows = scored(spark, sf_dir)
+    named = {"length": ("lightgbm", "lgbm_oof"), "toxicity": ("xgboost", "xgb_oof")}
+    one = lambda own, model, column: standardize_oof(
+        rows.where(F.col("model") == own).select("doc_id", "target", F.col("prediction").alias(column)), model, "doc_id", "target"
     )
-    return standardize_oof(old, "lightgbm", "doc_id", "target")
+    first, second = (one(own, *names) for own, names in named.items())
+    return first.unionByName(second)
 
 
 def _comparison(spark, sf_dir):

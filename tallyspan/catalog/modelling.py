@@ -26,18 +26,22 @@ SMALL_SPACE = {
 }
 
 
-def training_rows(spark, sf_dir) -> DataFrame:
-    """Labelled documents with counts over their whole text, which training reads repeatedly."""
+def counted_documents(spark, sf_dir) -> DataFrame:
+    """Documents with counts over their whole text."""
     text = F.col("text")
-    documents = table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "source", "n_chars",
         F.regexp_count(text, F.lit(r"\s+")).alias("n_gaps"),
         F.regexp_count(text, F.lit(r"\d")).alias("n_digits"),
         F.regexp_count(text, F.lit(r"\n")).alias("n_lines"),
         F.regexp_count(text, F.lit(r"[.!?]")).alias("n_stops"),
     )
+
+
+def training_rows(spark, sf_dir) -> DataFrame:
+    """The labelled ones, which training reads repeatedly."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("target"))
-    return materialise(documents.join(labels, "doc_id"))
+    return materialise(counted_documents(spark, sf_dir).join(labels, "doc_id"))
 
 
 @query("oof_predictions")
@@ -75,8 +79,8 @@ def holdout(spark, sf_dir):
 
 @query("batch_scores")
 def batch_scores(spark, sf_dir):
-    model, rows, _ = _documents_model(spark, sf_dir)
-    return batch_score(model, rows.drop("target"), "doc_id", "catalogue")
+    model, _, _ = _documents_model(spark, sf_dir)
+    return batch_score(model, counted_documents(spark, sf_dir), "doc_id", "catalogue")
 
 
 @query("permutation_importance")

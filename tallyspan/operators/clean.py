@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from tallyspan.functions.scalar import coerce_numeric, nan_to_null, parse_date
+from tallyspan.functions.scalar import as_date, coerce_numeric, nan_to_null, parse_date
 from tallyspan.spec import require_columns
 
 # Fixed value: columns with more than this share missing are dropped.
@@ -37,10 +37,11 @@ def filter_dates(
     The bound is put on the column itself, so that it reaches the file scan: a
     timestamp is "through day d" if it is before d + 1.
     """
+    when = as_date(column, df.schema[column].dataType)  # text is parsed, malformed text falls out
     if start is not None:
-        df = df.where(F.col(column) >= F.lit(str(start)).cast("date"))
+        df = df.where(when >= F.lit(str(start)).cast("date"))
     if end is not None:
-        df = df.where(F.col(column) < F.date_add(F.lit(str(end)).cast("date"), 1))
+        df = df.where(when < F.date_add(F.lit(str(end)).cast("date"), 1))
     return df
 
 

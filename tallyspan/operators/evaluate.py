@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.functions.scalar import DEFAULT_THRESHOLD
@@ -76,11 +76,16 @@ def ranking_metrics(df: DataFrame, target: str, score: str, by: Sequence[str] =
     )
 
 
+def called_positive(score: Column, threshold: float) -> Column:
+    """A missing score (NULL or NaN) never calls a row positive."""
+    return F.coalesce((score >= threshold) & ~F.isnan(score), F.lit(False))
+
+
 def confusion(
     df: DataFrame, target: str, score: str, threshold: float = DEFAULT_THRESHOLD, by: Sequence[str] = ()
 ) -> DataFrame:
     """Confusion counts, precision, recall and F1 (0 where undefined) in one aggregation."""
-    actual, called = F.col(target) == 1, F.col(score) >= threshold
+    actual, called = F.col(target) == 1, called_positive(F.col(score), threshold)
     counts = df.groupBy(*by).agg(
         F.count_if(~actual & ~called).alias("true_negative"),
         F.count_if(~actual & called).alias("false_positive"),
@@ -108,7 +113,7 @@ def evaluate(
     """All metrics of every group in one job: the confusion counts are sums over the same
     score table that the ranking metrics run along."""
     pos, neg = F.col("pos"), F.col("neg")
-    called = F.col("score") >= threshold
+    called = called_positive(F.col("score"), threshold)
     below = F.col("neg_total") - F.col("neg_cum")
     total_pos, total_neg = F.sum(pos), F.sum(neg)
     zero = F.lit(0).cast("bigint")

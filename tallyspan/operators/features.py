@@ -150,6 +150,7 @@ def build_features(
         absent = [c for c in (*(spec.continuous or ()), *spec.categorical) if c not in df.columns]
         df = df.select("*", *[F.lit(None).cast("string").alias(c) for c in absent])
     continuous, categorical = spec.continuous_in(df), spec.categorical_in(df)
+    df, spec = spec.total_order(df)
     if wanted is None:
         features = all_features(continuous, categorical, dialect)
     else:
@@ -168,7 +169,7 @@ def build_features(
     core = _Core(spec, continuous, categorical, features, has_target, options)
     shaped, lagged = core.shape(base, layout)
     # the median holds an entity's values of every column at once, so the bound is on values
-    key_rows = None if hot_rows is None else max(1, hot_rows // max(1, len(continuous)))
+    key_rows = None if hot_rows is None else max(1, hot_rows // max(1, len(continuous) + len(categorical)))
     usual, hot = sequence_parts(shaped, spec, lagged, hot_rows, key_rows)
     result = core.wide(usual) if layout == "wide" else core.long(usual)
     if hot is None:

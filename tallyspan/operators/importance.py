@@ -70,11 +70,12 @@ def mean_fold_importance(df: DataFrame, folds: int, keys: Sequence[str] = ("feat
     the denominator is simply the number of folds.
     """
     value = F.col("importance").cast("double")
-    sums = df.groupBy(*keys).agg(F.sum(value).alias("_s"), F.sum(value * value).alias("_ss"))
+    # at most one value per fold and feature; distances are taken from the mean itself
+    sums = df.groupBy(*keys).agg(F.sum(value).alias("_s"), F.collect_list(value).alias("_v"))
     mean = F.col("_s") / folds
     if folds > 1:
-        # clamped: rounding can leave a tiny negative where all folds agree
-        std = F.sqrt(F.greatest((F.col("_ss") - F.col("_s") * mean) / (folds - 1), F.lit(0.0)))
+        apart = F.aggregate("_v", F.lit(0.0), lambda s, v: s + (v - mean) * (v - mean))
+        std = F.sqrt((apart + (folds - F.size("_v")) * mean * mean) / (folds - 1))
     else:
         std = F.lit(0.0)
     return sums.select(*keys, mean.alias("importance_mean"), std.alias("importance_std"))

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +34,8 @@ from tallyspan.spec import HOT_ROWS, Spec, require_columns
 
 FEATURES = "_features"
 WEIGHT = "_weight"
-HELD_OUT = "_held_out"
+# Trees without improvement after which boosting stops.
+PATIENCE = 50
 
 # Rounds of the selector, of the final model and of cross-validation.
 SELECTOR_ROUNDS = 100
@@ -187,6 +188,23 @@ class CrossValidation:
         return fold, self.models[family, fold]
 
 
+def fit_with_patience(learner: GBTClassifier, train: DataFrame, watched: DataFrame, rounds: int) -> GBTClassificationModel:
+    """Boosting with as many trees as the watched rows are predicted best with.
+
+    Trees are added, twice as many each time, until the loss has not improved for
+    ``PATIENCE`` trees or the rounds are used up.  The seed is fixed, so a shorter fit
+    gives the first trees of a longer one.
+    """
+    trees = min(rounds, 2 * PATIENCE)
+    while True:
+        model = learner.setMaxIter(trees).fit(train)
+        losses = model.evaluateEachIteration(watched)
+        best = 1 + min(range(len(losses)), key=losses.__getitem__)
+        if trees >= rounds or best + PATIENCE <= trees:
+            return model if best == len(losses) else learner.setMaxIter(best).fit(train)
+        trees = min(rounds, 2 * trees)
+
+
 @dataclass(frozen=True)
 class FoldData:
     """Encoded training rows with their fold, prepared once for any number of fits."""
@@ -213,7 +231,7 @@ class FoldData:
         learner = FAMILIES[family](rounds, **{"maxBins": _bins_for(self.encoded), **params})
         held_out = F.col("fold") == fold
         if isinstance(learner, GBTClassifier):
-            model = learner.setValidationIndicatorCol(HELD_OUT).fit(self.rows.withColumn(HELD_OUT, held_out))
+            model = fit_with_patience(learner, self.rows.where(~held_out), self.rows.where(held_out), rounds)
         else:
             model = learner.fit(self.rows.where(~held_out))
         spent = time.perf_counter() - start
@@ -352,7 +370,7 @@ def score_statements(
         "default_probability",
         risk_band(F.col("default_probability")).alias("risk_category"),
         "n_statements",
-        F.lit(len(built.columns) - 1).alias("n_engineered_features"),
+        F.lit(len(set(built.columns) - {spec.id, spec.target})).alias("n_engineered_features"),
     )
 
 

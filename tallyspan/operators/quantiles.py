@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.operators.skew import running_sums, split_hot
@@ -38,6 +38,12 @@ def grouped_quantiles(
     return exact.unionByName(distributed_quantiles(hot, by, value, probs))
 
 
+def between(low: Column, high: Column, part: Column) -> Column:
+    """Linear interpolation that stays put where there is nothing to cross, so that two
+    infinite ends give Infinity and not NaN."""
+    return F.when((low == high) | (part == 0), low).otherwise(low + (high - low) * part)
+
+
 def distributed_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]
 ) -> DataFrame:
@@ -79,7 +85,7 @@ def distributed_quantiles(
         F.max(at - low).alias("part"),
     )
     return (
-        ends.select(*by, "i", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("q"))
+        ends.select(*by, "i", between(F.col("lo"), F.col("hi"), F.col("part")).alias("q"))
         .groupBy(*by)
         .agg(F.array_sort(F.collect_list(F.struct("i", "q"))).alias("pairs"))
         .select(*by, F.col("pairs.q").alias("quantiles"))

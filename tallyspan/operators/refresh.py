@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyspan.functions.names import raw_columns
 from tallyspan.operators.features import align_features, build_features
 from tallyspan.operators.skew import MAX_HOT_KEYS, split_hot
+from tallyspan.session import materialise
 from tallyspan.spec import HOT_ROWS, Spec, require_columns
 
 # Where a looked-up feature vector came from.
@@ -37,6 +38,10 @@ def restrict_to_keys(
     Rows of hot keys are matched against the few hot keys that were asked for, by
     broadcast, so they never gather in one join task.
     """
+    # few keys: one pass over the history, no shuffle of it and no search for hot keys
+    keys = materialise(keys.select(key).distinct())
+    if keys.count() <= MAX_HOT_KEYS:
+        return history.join(F.broadcast(keys), key, "left_semi")
     usual, hot = split_hot(history, [key], hot_rows)
     kept = usual.join(keys, key, "left_semi")
     if hot is None:

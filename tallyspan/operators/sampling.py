@@ -16,12 +16,13 @@ FOLDS = 5
 
 
 def hash_split(df: DataFrame, key: str, train_ratio: float) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by the key's hash bucket; all rows of a key fall on one side."""
+    """(train, test) by the key's hash bucket; all rows of a key fall on one side, those
+    without a key on the test side."""
     if not 0 < train_ratio < 1:
         raise ValueError("The train ratio must be between 0 and 1.")
     edge = round(train_ratio * 100)
     bucket = hash_bucket(key)
-    return df.where(bucket < edge), df.where(bucket >= edge)
+    return df.where(bucket < edge), df.where(F.coalesce(bucket >= edge, F.lit(True)))
 
 
 def limited_scan(df: DataFrame, max_rows: int | None, order: Sequence[str]) -> DataFrame:

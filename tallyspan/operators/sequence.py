@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.operators.skew import CELL, SLICE, cell, ordered_slices, slice_totals, split_hot
-from tallyspan.spec import HOT_ROWS, Spec
+from tallyspan.spec import HOT_ROWS, TIE, Spec
 
 FROM_START = "_rn_asc"
 FROM_END = "_rn_desc"
@@ -28,8 +28,11 @@ def with_sequence(
 ) -> DataFrame:
     """Add the position from the start and from the end of the entity's history, and
     in ``_prev`` the value of ``lagged`` on the row before."""
+    columns = df.columns
+    df, spec = spec.total_order(df)
     usual, hot = sequence_parts(df, spec, lagged, hot_rows)
-    return usual if hot is None else usual.unionByName(hot)
+    both = usual if hot is None else usual.unionByName(hot)
+    return both if TIE in columns else both.drop(TIE)
 
 
 def _sequence(df: DataFrame, spec: Spec, lagged: Column | None) -> DataFrame:
@@ -106,6 +109,8 @@ def latest_rows(df: DataFrame, spec: Spec, n: int = 1) -> DataFrame:
     Catalyst keeps the best ``n`` rows per entity already before the shuffle
     (WindowGroupLimit), so hot entities send ``n`` rows per task.
     """
+    columns = df.columns
+    df, spec = spec.total_order(df)
     newest_first = [F.col(c).desc_nulls_last() for c in spec.order_columns]
     rank = F.row_number().over(Window.partitionBy(spec.id).orderBy(*newest_first))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).select(*columns)

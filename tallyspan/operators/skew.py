@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from tallyspan.session import ensure_checkpoint_dir, materialise
 from tallyspan.spec import HOT_ROWS
 
-# At most this many keys are ever treated as hot, which bounds what split_hot
-# broadcasts: no more than this many keys can each hold 1/this of the rows.
+# Up to this many keys are broadcast; more are joined as Spark chooses.
 MAX_HOT_KEYS = 100_000
 
 SLICE = "_slice"
@@ -62,12 +61,9 @@ def hot_keys(
     total = df.count()
     if total <= hot_rows:
         return None
-    bar = max(hot_rows if key_rows is None else min(key_rows, hot_rows), total // MAX_HOT_KEYS)
-    found = df.groupBy(*keys).count().where(F.col("count") > bar).select(*keys)
-    rows = found.collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, found.schema)
+    bar = hot_rows if key_rows is None else min(key_rows, hot_rows)
+    found = materialise(df.groupBy(*keys).count().where(F.col("count") > bar).select(*keys))
+    return None if found.isEmpty() else found
 
 
 def split_hot(
@@ -77,7 +73,7 @@ def split_hot(
     hot = hot_keys(df, keys, hot_rows, key_rows)
     if hot is None:
         return df, None
-    small = F.broadcast(hot)
+    small = F.broadcast(hot) if hot.count() <= MAX_HOT_KEYS else hot
     return null_safe(df, small, keys, "left_anti"), null_safe(df, small, keys, "left_semi")
 
 

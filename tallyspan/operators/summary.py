@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.operators.quantiles import grouped_quantiles
@@ -24,13 +24,14 @@ def statement_describe(df: DataFrame, key: str) -> DataFrame:
     Works on the histogram of counts; its size is the number of different counts,
     at most about the square root of twice the number of statements.
     """
-    histogram = statement_counts(df, key)
     n, w = F.col("n_statements").cast("double"), F.col("n_keys")
-    total, first, second = F.sum(w), F.sum(n * w), F.sum(n * n * w)
+    whole = Window.partitionBy(F.lit(0))  # the histogram is small, and only it is gathered
+    histogram = statement_counts(df, key).withColumn("_mean", F.sum(n * w).over(whole) / F.sum(w).over(whole))
+    total, first, apart = F.sum(w), F.sum(n * w), F.sum(w * (n - F.col("_mean")) * (n - F.col("_mean")))
     row = histogram.agg(
         F.coalesce(total, F.lit(0).cast("bigint")).alias("count"),
         F.try_divide(first, total).alias("mean"),
-        F.when(total > 1, F.sqrt((second - first * first / total) / (total - 1))).alias("std"),
+        F.when(total > 1, F.sqrt(apart / (total - 1))).alias("std"),
         F.min(n).alias("min"),
         F.percentile("n_statements", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), w).alias("_q"),
         F.max(n).alias("max"),

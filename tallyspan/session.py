@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # windows of many entities are kept on local disk with changelog checkpoints
     # instead of on the executors' heap
     "spark.sql.streaming.stateStore.providerClass": (
@@ -51,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
+    elif re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyspan-checkpoint-"))
     else:
         raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tallyspan.functions.scalar import number_sql
+
 # A group of rows larger than this is never handed to one task: it is cut into
 # ordered slices first (see operators/skew.py).
 HOT_ROWS = 1_000_000
+# What breaks ties of a spec whose order may repeat.
+TIE = "_tie"
 
 
 @dataclass(frozen=True)
@@ -51,6 +55,22 @@ class Spec:
     def categorical_in(self, df: DataFrame) -> list[str]:
         return [c for c in self.categorical if c in df.columns]
 
+    def total_order(self, df: DataFrame) -> tuple[DataFrame, Spec]:
+        """``df`` and a spec whose order leaves no choice that values could show.
+
+        Rows that tie on the order are sorted by all value columns in spec order, NULLs
+        first, whatever the layout, the size of the entity or the columns asked for; rows
+        that tie on these as well are interchangeable.
+        """
+        if self.unique_order or TIE in self.tiebreak:
+            return df, self
+        numbers = [F.expr(number_sql(c)) for c in self.continuous_in(df)]
+        texts = [F.col(c).cast("string") for c in self.categorical_in(df)]
+        values = [v.alias(f"v{i}") for i, v in enumerate([*numbers, *texts])]
+        if not values:
+            return df, self
+        return df.withColumn(TIE, F.struct(*values)), replace(self, tiebreak=(*self.tiebreak, TIE))
+
 
 def infer_continuous(df: DataFrame, exclude: Sequence[str | None]) -> list[str]:
     """Numeric columns in schema order, minus ``exclude``."""

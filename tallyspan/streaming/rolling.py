@@ -68,8 +68,9 @@ def rolling_windows(
         rows = rows.withWatermark(arrival, dedupe_within).dropDuplicatesWithinWatermark([key, CYCLE])
     narrow = rows.select(
         F.col(key).cast("string").alias("key"),
-        F.unix_micros(F.col(arrival).cast("timestamp")).alias("arrival"),
-        F.col(place).cast("bigint").alias("place"), F.col(CYCLE).alias("cycle"), "text",
+        # a message without a stamp counts as the oldest, instead of stopping the stream
+        F.coalesce(F.unix_micros(F.col(arrival).cast("timestamp")), F.lit(0)).alias("arrival"),
+        F.coalesce(F.col(place).cast("bigint"), F.lit(0)).alias("place"), F.col(CYCLE).alias("cycle"), "text",
     )
     reduced = narrow.mapInPandas(lambda chunks: newest_per_chunk(chunks, limit), narrow.schema)
     return reduced.groupBy("key").applyInPandasWithState(

@@ -100,10 +100,14 @@ def test_one_exchange(statements):
 
 def test_reads_only_needed_columns(spark):
     df = spark.read.parquet(f"{DATA}/lineitem.parquet")
-    spec = Spec("l_orderkey", "l_shipdate", ("l_linenumber",), categorical=("l_returnflag",))
-    plan = plan_of(build_features(df, spec, ["l_tax_mean", "l_tax_last"], hot_rows=None))
+    wanted = ["l_tax_mean", "l_tax_last"]
+    spec = Spec("l_orderkey", "l_shipdate", ("l_linenumber",), categorical=("l_returnflag",), unique_order=True)
+    plan = plan_of(build_features(df, spec, wanted, hot_rows=None))
     schema = plan.split("ReadSchema:")[1].split("\n")[0]
     assert "l_tax" in schema and "l_quantity" not in schema and "l_returnflag" not in schema
+    # an order that may repeat needs every value column to break ties
+    tied = Spec("l_orderkey", "l_shipdate", ("l_linenumber",), categorical=("l_returnflag",))
+    assert "l_quantity" in plan_of(build_features(df, tied, wanted, hot_rows=None)).split("ReadSchema:")[1].split("\n")[0]
 
 
 def test_wanted_and_dialects(statements):
@@ -218,3 +222,23 @@ def test_bucketed_statements_are_not_shuffled(spark, statements):
     built = build_features(spark.table("t_bucketed"), SPEC, hot_rows=None)
     assert "Exchange" not in plan_of(built)
     compared(built, naive(statements.toPandas(), False))
+
+
+def test_ties_have_one_answer(spark):
+    """The same features whatever the partitioning, the layout and the path for large entities."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    rows = [(k % 2, f"2024-01-{1 + k // 10:02d}", float(k * 7919 % 23) if k % 9 else math.inf, f"c{k % 3}") for k in range(60)]
+    df = spark.createDataFrame(rows, "id int, d string, x double, c string").withColumn("d", F.to_date("d"))
+    spec = Spec("id", "d", continuous=("x",), categorical=("c",))
+    results = []
+    for parts in (1, 3, 7):
+        for layout in ("wide", "long"):
+            for hot in (None, 5):
+                built = build_features(df.repartition(parts), spec, layout=layout, hot_rows=hot)
+                # sums of infinities are NaN on either path; the order shows in the others
+                picked = [c for c in built.columns if c.endswith(("_first", "_last", "_median", "_count", "_nunique"))]
+                results.append(sorted(map(tuple, built.select("id", *picked).collect())))
+    assert all(r == results[0] for r in results)
