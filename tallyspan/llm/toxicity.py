@@ -12,7 +12,8 @@ doc_id; that bounds what the driver trains on.  Everything is scored, whole.
 
 Defined results: NULL and empty texts score the base rate; labels that are NULL, or that
 contradict each other for one doc_id, are not learnt from; without any label of one class
-every score is 0; repeated rows score alike; a NULL doc_id is not held out.
+every score is 0; repeated rows score alike; of texts that share a doc_id the smallest is
+learnt from, so that repeated rows cannot raise the bound; a NULL doc_id is not held out.
 """
 
 from __future__ import annotations
@@ -73,8 +74,17 @@ def swapped(words: set[str]) -> list[set[str]]:
     return [(words - {t}) | {o} for t in words if t in SWAPS for o in SWAPS[t]]
 
 
+def swap_changes(words: set[str]) -> list[list[list[int]]]:
+    """What each swap takes from the features of a text, and what it brings: all else cancels."""
+    if not any(t in words for t in SWAPS):
+        return []
+    before = set(feature_ids(words))
+    after = [set(feature_ids(s)) for s in swapped(words)]
+    return [[sorted(before - a), sorted(a - before)] for a in after]
+
+
 def train(texts: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, float]:
-    """Weights and intercept.  ``pairs``: features of a text, and with a term swapped."""
+    """Weights and intercept.  ``pairs``: features that a swapped term takes away, and brings."""
     size = 1 << SPACE_BITS
     weights = np.zeros(size, np.float32)
     positive = int(labels.sum()) if len(labels) else 0
@@ -86,7 +96,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndar
     error = np.sqrt(np.maximum(holders * share * (1 - share), 1e-9))
     told = (holders >= MIN_TEXTS) & (np.abs(toxic - holders * share) >= EVIDENCE * error)
     for a, b in pairs:  # what a swap puts in may carry weight as well
-        told[np.setxor1d(a, b)] = True
+        told[a] = told[b] = True
     names = np.nonzero(told)[0]
     slot = np.full(size, -1, np.int64)
     slot[names] = np.arange(len(names))
@@ -129,7 +139,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
     ).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_high")).where("toxic = _high")
     share = min(1.0, max_train / max(1, usable.count()))
     picked = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("doc_id", "toxic")
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple[np.ndarray, float]:
@@ -140,20 +151,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tuple
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([feature_ids(w) for w in words], ids),
-                    pa.array([[feature_ids(s) for s in swapped(w)] for w in words], pa.list_(ids)),
+                    pa.array([swap_changes(w) for w in words], pa.list_(pa.list_(ids))),
                     batch.column("toxic").cast(pa.int32()),
                 ],
                 ["ids", "swaps", "toxic"],
             )
 
     small_batches(docs.sparkSession)
-    rows = training_rows(docs, labels, max_train).mapInArrow(featurize, "ids array<int>, swaps array<array<int>>, toxic int").toArrow()
+    rows = training_rows(docs, labels, max_train).mapInArrow(featurize, "ids array<int>, swaps array<array<array<int>>>, toxic int").toArrow()
     if not rows.num_rows:
         return np.zeros(1 << SPACE_BITS, np.float32), -np.inf
     ids = rows["ids"].combine_chunks()
     texts = np.split(ids.flatten().to_numpy(), ids.offsets.to_numpy()[1:-1] - ids.offsets.to_numpy()[0])
     pairs = [
-        (texts[i], np.array(s, np.int64)) for i, swaps in enumerate(rows["swaps"].to_pylist()) for s in swaps
+        (np.array(gone, np.int64), np.array(come, np.int64)) for swaps in rows["swaps"].to_pylist() for gone, come in swaps
     ]
     return train(texts, rows["toxic"].to_numpy(), pairs)
 
