@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.catalog.base import EVN_SQL, SCORED_SQL, events, gappy_events, orders, query, r, rounded, rs, scored, table
-from tallyspan.functions.names import FEATURE_PATTERN, raw_column
+from tallyspan.catalog.base import EVN_SQL, SCORED_SQL, events, gappy_events, orders, query, r, rounded, scored, table
+from tallyspan.functions.names import raw_column
 from tallyspan.functions.scalar import decode_message, fill_missing, risk_band, statement_cycle
 from tallyspan.operators.clean import (
     align_categories, cast_categoricals, clean_dates, coerce_numbers, drop_sparse_columns, duplicate_count,
     filter_dates, missing_percent,
 )
-from tallyspan.operators.evaluate import evaluate, flatten_metrics, fold_metrics
 from tallyspan.operators.importance import top_missing
 
 DATE_TEXT_SQL = """CASE WHEN o_orderkey % 11 = 0 THEN 'not a date' WHEN o_orderkey % 13 = 0 THEN NULL
@@ -155,16 +154,18 @@ def json_props(spark, sf_dir):
     return rows.select("event_id", F.col("p.k").alias("k"))
 
 
-NAMES_SQL = """names AS (
-  SELECT DISTINCT p_type || s AS name FROM (SELECT DISTINCT replace(p_type, ' ', '_') AS p_type FROM part)
-  CROSS JOIN (VALUES ('_mean'), ('_last_3m'), ('_diff_std'), ('_last_minus_mean'), ('_lag'), ('_std_diff'),
-                     ('_nunique'), ('_unknown')) AS t(s))"""
-SUFFIXES = ("_mean", "_last_3m", "_diff_std", "_last_minus_mean", "_lag", "_std_diff", "_nunique", "_unknown")
+# Name endings, and whether they name a statistic.
+SUFFIXES = {
+    "_mean": True, "_last_3m": True, "_diff_std": True, "_last_minus_mean": True, "_lag": True, "_std_diff": True,
+    "_nunique": True, "_unknown": False,
+}
 
 
 @query(
     "raw_columns",
-    f"""WITH {NAMES_SQL} SELECT name, nullif(regexp_extract(name, '{FEATURE_PATTERN}', 1), '') AS raw FROM names""",
+    f"""SELECT DISTINCT p_type || s AS name, CASE WHEN known THEN p_type END AS raw
+FROM (SELECT replace(p_type, ' ', '_') AS p_type FROM part)
+CROSS JOIN (VALUES {", ".join(f"('{s}', {str(known).lower()})" for s, known in SUFFIXES.items())}) AS t(s, known)""",
 )
 def raw_columns_query(spark, sf_dir):
     base = table(spark, sf_dir, "part").select(F.replace("p_type", F.lit(" "), F.lit("_")).alias("t")).distinct()
@@ -180,23 +181,3 @@ SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM doubled)) A
 def duplicate_count_query(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     return duplicate_count(lines.union(lines.where(F.col("l_orderkey") % 5 == 0)))
-
-
-@query(
-    "metrics_long",
-    f"""WITH {SCORED_SQL}, c AS (
-  SELECT model, fold, count(*) FILTER (WHERE target = 1 AND prediction >= 0.5) AS tp,
-    count(*) FILTER (WHERE target <> 1 AND prediction >= 0.5) AS fp,
-    count(*) FILTER (WHERE target = 1 AND prediction < 0.5) AS fn FROM scored GROUP BY model, fold)
-SELECT model, 'fold_' || fold || '_precision' AS key, {r("coalesce(tp / nullif(tp + fp, 0), 0.0)", "value")} FROM c
-UNION ALL SELECT model, 'fold_' || fold || '_recall', {rs('coalesce(tp / nullif(tp + fn, 0), 0.0)')} FROM c
-UNION ALL SELECT model, 'fold_' || fold || '_f1', {rs('coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0)')} FROM c
-UNION ALL SELECT model, 'n_rows', CAST(count(*) AS DOUBLE) FROM scored GROUP BY model
-UNION ALL SELECT model, 'true_positive', CAST(count(*) FILTER (WHERE target = 1 AND prediction >= 0.5) AS DOUBLE)
-  FROM scored GROUP BY model""",
-)
-def metrics_long(spark, sf_dir):
-    rows = scored(spark, sf_dir)
-    report = evaluate(rows, "target", "prediction").select("model", "n_rows", "true_positive")
-    long = flatten_metrics(report, fold_metrics(rows, "target", "prediction"))
-    return rounded(long.where(~F.col("key").rlike("_(roc|pr)_auc$")))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tallyspan.catalog.base import SCORED_SQL, query, r, rounded, rs, scored, table
 from tallyspan.operators.evaluate import (
-    best_fold, best_fold_rows, compare_models, confusion, evaluate, fold_metrics, mean_fold_metrics, pr_points,
+    FOLD_METRICS, best_fold, best_fold_rows, compare_models, confusion, evaluate, flatten_metrics, fold_metrics,
+    mean_fold_metrics, pr_points,
     ranking_metrics, roc_points, standardize_oof, with_timings,
 )
 from tallyspan.operators.importance import mean_fold_importance
@@ -227,3 +228,27 @@ def importance_mean(spark, sf_dir):
         name.alias("feature"), (F.col("o_custkey") % 5 + 1).alias("fold")
     ).agg(F.count(F.lit(1)).alias("importance"))
     return rounded(mean_fold_importance(per_fold, 5))
+
+
+REPORT_FIELDS = (
+    "n_rows", "true_negative", "false_positive", "false_negative", "true_positive", "roc_auc", "pr_auc", "precision",
+    "recall", "f1", "threshold",
+)
+
+
+def _long_sql(named: str, fields, source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT model, {named.format(field=x)} AS key, {rs(f'CAST({x} AS DOUBLE)')} AS value FROM {source} WHERE {x} IS NOT NULL"
+        for x in fields
+    )
+
+
+@query(
+    "metrics_long",
+    f"""SELECT * FROM (WITH {report_sql('model')} {_long_sql("'{field}'", REPORT_FIELDS, "report")})
+UNION ALL SELECT * FROM (WITH {FULL_FOLD_SQL} {_long_sql("'fold_' || fold || '_{field}'", FOLD_METRICS, "fm")})""",
+)
+def metrics_long(spark, sf_dir):
+    rows = scored(spark, sf_dir)
+    report = evaluate(rows, "target", "prediction")
+    return rounded(flatten_metrics(report, fold_metrics(rows, "target", "prediction")))

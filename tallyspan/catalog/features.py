@@ -104,6 +104,40 @@ def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(build_features(events(spark, sf_dir), EV_SPEC), DIGITS)
 
 
+# about half of the users count as hot: they are cut into slices
+@query("customer_features_hot", events_sql(NUMERIC_STATS, CATEGORY_STATS))
+def customer_features_hot(spark, sf_dir):
+    return rounded(build_features(events(spark, sf_dir), EV_SPEC, hot_rows=200), DIGITS)
+
+
+# orders dated by year alone, so that most rows of a customer tie
+YEARLY_SQL = "od AS (SELECT o_custkey, CAST(date_trunc('year', o_orderdate) AS DATE) AS day, o_totalprice, o_orderstatus, o_orderpriority FROM orders)"
+TIED_SPEC = Spec("o_custkey", "day", continuous=("o_totalprice",), categorical=("o_orderstatus", "o_orderpriority"))
+TIED_SQL = features_sql(
+    YEARLY_SQL, "od",
+    Spec("o_custkey", "day", ("o_totalprice", "o_orderstatus", "o_orderpriority"), None, TIED_SPEC.continuous, TIED_SPEC.categorical),
+    numeric=NUMERIC_STATS, category=CATEGORY_STATS,
+)
+
+
+def _tied(spark, sf_dir, **options):
+    day = F.trunc("o_orderdate", "year").alias("day")
+    rows = orders(spark, sf_dir).select("o_custkey", day, "o_totalprice", "o_orderstatus", "o_orderpriority")
+    return rounded(build_features(rows, TIED_SPEC, **options), DIGITS)
+
+
+@query("tied_features", TIED_SQL)
+def tied_features(spark, sf_dir):
+    """Ties are broken by all value columns in spec order."""
+    return _tied(spark, sf_dir)
+
+
+@query("tied_features_hot", TIED_SQL)
+def tied_features_hot(spark, sf_dir):
+    """The same answer where large customers are cut into slices and columns travel as arrays."""
+    return _tied(spark, sf_dir, hot_rows=30, layout="long")
+
+
 @query("customer_features_gaps", events_sql(NUMERIC_STATS, CATEGORY_STATS, gaps=True))
 def customer_features_gaps(spark, sf_dir):
     return rounded(build_features(gappy_events(spark, sf_dir), EV_SPEC), DIGITS)

@@ -126,3 +126,54 @@ def tiered_scores(spark, sf_dir):
     stored = rows.where(F.col("o_custkey") % 2 == 0).drop("target")
     asked = orders(spark, sf_dir).select("o_custkey")
     return tiered_score(model, asked, cache, stored, "o_custkey")
+
+
+# What SQL can say of scores: how many, of whom, in what range, in which band.
+BAND_SQL = "CASE WHEN {p} < 0.25 THEN 'low' WHEN {p} < 0.60 THEN 'medium' ELSE 'high' END"
+
+
+def _inside(score: str):
+    return F.coalesce(F.every(F.col(score).between(0.0, 1.0)), F.lit(False))
+
+
+@query(
+    "oof_coverage",
+    """SELECT model, count(*) AS n, count(DISTINCT doc_id) AS ids, CAST(sum(quality) AS BIGINT) AS positives,
+  CAST(3 AS BIGINT) AS folds, true AS inside
+FROM documents JOIN labels USING (doc_id) CROSS JOIN (VALUES ('boosted_trees'), ('random_forest')) AS m(model) GROUP BY model""",
+)
+def oof_coverage(spark, sf_dir):
+    """Every labelled row is scored once by each model, by a fold that did not see it."""
+    return oof_predictions(spark, sf_dir).groupBy("model").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("ids"), F.sum("target").alias("positives"),
+        F.countDistinct("fold").alias("folds"), _inside("prediction").alias("inside"),
+    )
+
+
+@query(
+    "batch_score_coverage",
+    """SELECT count(*) AS n, count(DISTINCT doc_id) AS ids, true AS inside, true AS banded, 'catalogue' AS job FROM documents""",
+)
+def batch_score_coverage(spark, sf_dir):
+    banded = F.every(F.col("risk_category") == F.expr(BAND_SQL.format(p="default_probability")))
+    return batch_scores(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("ids"), _inside("default_probability").alias("inside"),
+        banded.alias("banded"), F.max("scoring_job").alias("job"),
+    )
+
+
+@query(
+    "tiered_score_coverage",
+    """SELECT CASE WHEN o_custkey % 3 = 0 THEN 'realtime' WHEN o_custkey % 2 = 0 THEN 'fallback' ELSE 'INSUFFICIENT_DATA' END AS tier_used,
+  count(DISTINCT o_custkey) AS n, true AS agrees
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1""",
+)
+def tiered_score_coverage(spark, sf_dir):
+    """Scores and bands are there, and agree, exactly where there is data."""
+    score = F.col("risk_score")
+    without = score.isNull() & F.col("risk_category").isNull()
+    within = score.between(0.0, 1.0) & (F.col("risk_category") == F.expr(BAND_SQL.format(p="risk_score")))
+    right = F.when(F.col("tier_used") == "INSUFFICIENT_DATA", without).otherwise(F.coalesce(within, F.lit(False)))
+    return tiered_scores(spark, sf_dir).groupBy("tier_used").agg(
+        F.count(F.lit(1)).alias("n"), F.every(right).alias("agrees")
+    )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyspan.catalog.base import EV_SPEC, EV_SQL, events, query, r, rounded
-from tallyspan.catalog.features import sequence_sql
+from tallyspan.catalog.features import numeric_sql, sequence_sql
+from tallyspan.functions.names import NUMERIC_STATS, feature_name
 from tallyspan.operators.drift import (
     drift_alerts, drift_report, long_values, psi, psi_bins, quantile_edges,
 )
@@ -58,17 +59,27 @@ TWO_SIDES_SQL = f"{SIDES_SQL}, {psi_sql('base', 'curr', ['value', 'k'])}"
 REPORT_TAIL = """CAST(0.2 AS DOUBLE) AS threshold, baseline_rows, current_rows"""
 
 
-@query(
-    "quantile_edges",
-    f"""WITH {TWO_SIDES_SQL} SELECT feature_name, CAST(i - 1 AS BIGINT) AS place, {r("e[i]", "edge")}
-FROM (SELECT feature_name, e, unnest(range(1, len(e) + 1)) AS i FROM edges)""",
-)
-def quantile_edges_query(spark, sf_dir):
-    edges = quantile_edges(long_values(sides(spark, sf_dir)[0], ["value", "k"]))
+EDGES_SQL = f"""WITH {TWO_SIDES_SQL} SELECT feature_name, CAST(i - 1 AS BIGINT) AS place, {r("e[i]", "edge")}
+FROM (SELECT feature_name, e, unnest(range(1, len(e) + 1)) AS i FROM edges)"""
+
+
+def _edges(spark, sf_dir, **options):
+    edges = quantile_edges(long_values(sides(spark, sf_dir)[0], ["value", "k"]), **options)
     rows = edges.select("feature_name", F.posexplode("edges").alias("place", "edge"))
     return rounded(rows.withColumn("place", F.col("place").cast("bigint")))
 
 
+@query("quantile_edges", EDGES_SQL)
+def quantile_edges_query(spark, sf_dir):
+    return _edges(spark, sf_dir)
+
+
+@query("quantile_edges_hot", EDGES_SQL)
+def quantile_edges_hot(spark, sf_dir):
+    """Every feature counts as large: running counts along range slices."""
+    return _edges(spark, sf_dir, hot_rows=100)
+
+
 @query(
     "psi_bins",
     f"""WITH {TWO_SIDES_SQL} SELECT feature_name, CAST(bin AS INTEGER) AS bin, {r("lower", "lower")}, {r("upper", "upper")},
@@ -109,26 +120,28 @@ def drift_alerts_query(spark, sf_dir):
 
 
 # drift of features rebuilt from two date windows
-WINDOWED = ["value_mean", "value_max", "value_last", "k_mean", "k_std"]
+WINDOWED = {feature_name(c, s): numeric_sql(c)[s] for c in EV_SPEC.continuous for s in NUMERIC_STATS} | {
+    "event_type_count": "count(event_type)", "event_type_nunique": "count(DISTINCT event_type)"
+}
 
 
 def _window_sql(name: str, condition: str) -> str:
     return f"""{name}_ev AS (SELECT * FROM ev WHERE {condition}),
 {sequence_sql(f"{name}_ev", EV_SPEC, f"{name}_seq")},
-{name} AS (SELECT user_id, avg(value) AS value_mean, max(value) AS value_max, max(value) FILTER (WHERE rd = 1) AS value_last,
-  avg(k) AS k_mean, stddev_samp(k) AS k_std FROM {name}_seq GROUP BY user_id)"""
+{name} AS (SELECT user_id, {", ".join(f"{sql} AS {feature}" for feature, sql in WINDOWED.items())}
+  FROM {name}_seq GROUP BY user_id)"""
 
 
 @query(
     "windowed_drift",
     f"""WITH {EV_SQL}, {_window_sql("early", "CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-15'")},
 {_window_sql("late", "CAST(ts AS DATE) BETWEEN DATE '2024-01-16' AND DATE '2024-01-30'")},
-{psi_sql("early", "late", WINDOWED)}
+{psi_sql("early", "late", list(WINDOWED))}
 SELECT feature_name, {r('psi', 'psi')}, psi.psi > 0.2 AS drifted, {REPORT_TAIL} FROM psi""",
 )
 def windowed_drift(spark, sf_dir):
     rows = events(spark, sf_dir)
     report = compare_windows(
-        rows, EV_SPEC, ("2024-01-01", "2024-01-15"), ("2024-01-16", "2024-01-30"), WINDOWED
+        rows, EV_SPEC, ("2024-01-01", "2024-01-15"), ("2024-01-16", "2024-01-30"), list(WINDOWED)
     )
     return rounded(report.select("feature_name", "psi", "drifted", "threshold", "baseline_rows", "current_rows"))

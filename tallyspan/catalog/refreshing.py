@@ -62,6 +62,13 @@ def refreshed_features(spark, sf_dir):
     return rounded(refresh_features(history(spark, sf_dir), changed(spark, sf_dir), EV_SPEC, WANTED), DIGITS)
 
 
+@query("refreshed_features_hot", f"WITH {REFRESHED_SQL} SELECT * FROM refreshed")
+def refreshed_features_hot(spark, sf_dir):
+    """The same where the larger of the changed users are cut into slices."""
+    built = refresh_features(history(spark, sf_dir), changed(spark, sf_dir), EV_SPEC, WANTED, hot_rows=200)
+    return rounded(built, DIGITS)
+
+
 # the table to merge into: features of the users known before, one column the refresh does not touch
 OLD_SQL = f"""{REFRESHED_SQL}, old AS (SELECT user_id, max(value) AS value_max, min(value) AS value_mean FROM events
   WHERE ts < TIMESTAMP '2024-01-02' GROUP BY user_id)"""
