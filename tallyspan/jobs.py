@@ -10,16 +10,25 @@ import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from tallyspan.operators.drift import BINS, PSI_THRESHOLD, drift_report
-from tallyspan.operators.model import RiskModel, batch_score, best_params, holdout_report, score_statements, search, train_final
+from tallyspan.operators.drift import BINS, PSI_THRESHOLD, drift_alerts, drift_report
+from tallyspan.operators.evaluate import compare_models, evaluate, fold_metrics
+from tallyspan.operators.model import (
+    RiskModel, batch_score, best_params, cross_validate, holdout_report, score_statements, search, train_final,
+)
 from tallyspan.operators.sampling import balanced_sample, hash_split, limited_scan
 from tallyspan.plans.batch import features_with_labels, preprocess
 from tallyspan.plans.refresh import refresh
-from tallyspan.session import build_session
+from tallyspan.session import build_session, materialise
 from tallyspan.sources.readers import read_feature_list, read_labels_csv, read_statements_csv
-from tallyspan.sources.writers import write_feature_list, write_holdout, write_metrics, write_parquet
+from tallyspan.sources.writers import write_feature_list, write_holdout, write_metrics, write_oof, write_parquet, write_run
 from tallyspan.spec import Spec
+from tallyspan.streaming.ingest import read_broker, read_messages, start_ingest
+from tallyspan.streaming.rolling import start_features
+
+# Columns of a message as it arrives.
+MESSAGE = "body string, arrival timestamp, place bigint"
 
 
 def parser() -> argparse.ArgumentParser:
@@ -53,9 +62,10 @@ def parser() -> argparse.ArgumentParser:
         p = step(name, "input", "output")
         p.add_argument("--max-rows", type=int)
         p.add_argument("--balanced-sample", action="store_true")
-        p.add_argument("--params", default="{}", help="learner parameters as JSON")
         p.add_argument("--rounds", type=int, default=300 if name == "train" else 700)
         if name == "train":
+            p.add_argument("--params", default="{}", help="learner parameters as JSON")
+            p.add_argument("--tuned", help="output folder of a tune step; --params wins over it")
             p.add_argument("--holdout")
             p.add_argument("--selector-rounds", type=int, default=100)
             p.add_argument("--threshold", type=float, default=0.95)
@@ -65,20 +75,41 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--trials", type=int, default=25)
             p.add_argument("--folds", type=int, default=3)
             p.add_argument("--metric", choices=["roc_auc", "pr_auc"], default="roc_auc")
+    p = step("cross-validate", "input", "output")
+    p.add_argument("--folds", type=int, default=5)
+    p.add_argument("--rounds", type=int, default=1000)
+    p.add_argument("--params", default="{}", help="learner parameters of each model family as JSON")
+    p = step("evaluate", "input", "output")
+    p.add_argument("--rank-by", default="roc_auc")
     p = step("score", "model", "input", "output")
     p.add_argument("--job", default="score")
     step("score-statements", "model", "input", "output")
     p = step("drift", "baseline", "current", "output")
     p.add_argument("--bins", type=int, default=BINS)
     p.add_argument("--psi-threshold", type=float, default=PSI_THRESHOLD)
+    p.add_argument("--alerts", default="{}", help="alert thresholds of single features as JSON")
+    p.add_argument("--run", required=True, help="name of this run; running it again replaces its report")
     for side in ("baseline", "current"):
         p.add_argument(f"--{side}-start-date")
         p.add_argument(f"--{side}-end-date")
     p = step("refresh", "history", "changes", "features", "serving")
     p.add_argument("--cycle")
+    for name in ("ingest", "stream-features"):
+        p = step(name, "output", "checkpoint", "schema")
+        source = p.add_mutually_exclusive_group(required=True)
+        source.add_argument("--input", help="folder where message files land")
+        source.add_argument("--topic", help="topic of the broker")
+        p.add_argument("--servers", help="addresses of the broker")
+        p.add_argument("--every", help="processing interval; without it, what is there is taken and the job ends")
+        if name == "stream-features":
+            p.add_argument("--features", required=True)
     return root
 
 
+def _messages(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    return read_messages(spark, a.input, MESSAGE) if a.input else read_broker(spark, a.servers, a.topic)
+
+
 def _sampled(df: DataFrame, a: argparse.Namespace) -> DataFrame:
     if a.max_rows is None:
         return df
@@ -113,9 +144,10 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
             f"{a.output}/best_params"
         )
     elif a.step == "train":
+        tuned = json.loads(spark.read.text(f"{a.tuned}/best_params").first()[0]) if a.tuned else {}
         final = train_final(
             _sampled(read(a.input), a), a.id, a.target, selector_rounds=a.selector_rounds, final_rounds=a.rounds,
-            threshold=a.threshold, min_features=a.min_features, max_features=a.max_features, **json.loads(a.params),
+            threshold=a.threshold, min_features=a.min_features, max_features=a.max_features, **{**tuned, **json.loads(a.params)},
         )
         final.model.save(spark, f"{a.output}/model")
         write_parquet(final.importance, f"{a.output}/importance", overwrite=True)
@@ -125,6 +157,18 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
             write_metrics(holdout_report(final.model, held, a.target), f"{a.output}/holdout_metrics")
             scored = final.model.probability(held.select(a.id, a.target, *[c for c in final.model.features if c in held.columns]))
             write_holdout(scored.select(a.id, a.target, "prediction"), f"{a.output}/holdout_predictions")
+    elif a.step == "cross-validate":
+        done = cross_validate(
+            read(a.input), a.id, a.target, folds=a.folds, rounds=a.rounds, params=json.loads(a.params)
+        )
+        write_oof(done.oof, f"{a.output}/oof")
+        oof = read(f"{a.output}/oof")
+        write_metrics(evaluate(oof, a.target, "prediction"), f"{a.output}/metrics", fold_metrics(oof, a.target, "prediction"))
+    elif a.step == "evaluate":
+        oof = read(a.input)
+        report = materialise(evaluate(oof, a.target, "prediction"))
+        write_metrics(report, f"{a.output}/metrics", fold_metrics(oof, a.target, "prediction"))
+        write_holdout(compare_models([report], a.rank_by).coalesce(1), f"{a.output}/comparison")
     elif a.step == "score":
         model = RiskModel.load(spark, a.model)
         write_parquet(batch_score(model, read(a.input), a.id, a.job), a.output, a.overwrite)
@@ -136,10 +180,20 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
             baseline_dates=(a.baseline_start_date, a.baseline_end_date),
             current_dates=(a.current_start_date, a.current_end_date),
         )
-        report.write.mode("append").parquet(a.output)
+        written = write_run(report, f"{a.output}/report", a.run)
+        write_run(drift_alerts(written, json.loads(a.alerts), a.psi_threshold), f"{a.output}/alerts", a.run)
     elif a.step == "refresh":
         wanted = read_feature_list(spark, a.features)
         refresh(spark, read(a.history), read(a.changes), spec, wanted, a.serving, a.cycle)
+    else:
+        schema = StructType.fromDDL(a.schema)
+        trigger = {"processingTime": a.every} if a.every else {"availableNow": True}
+        if a.step == "ingest":
+            stream = start_ingest(_messages(spark, a), schema, a.output, a.checkpoint, a.id, a.date, **trigger)
+        else:
+            wanted = read_feature_list(spark, a.features)
+            stream = start_features(_messages(spark, a), schema, spec, wanted, a.output, a.checkpoint, **trigger)
+        stream.awaitTermination()
 
 
 def main() -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.operators.refresh import latest_per_key, upsert
+from tallyspan.session import materialise
 
 # The schema of the prediction table.
 PREDICTION_SCHEMA = (
@@ -131,11 +132,23 @@ def write_predictions(scored: DataFrame, table: str) -> LoadResult:
 
 
 def append_drift(report: DataFrame, table: str, csv_path: str) -> None:
-    """Append to the drift history and leave a CSV copy of this report."""
+    """Append to the drift history and leave a CSV copy of this report, computed once."""
+    report = materialise(report)
     report.write.mode("append").saveAsTable(table)
     report.coalesce(1).write.mode("overwrite").csv(csv_path, header=True)
 
 
+def write_run(report: DataFrame, root: str, run: str) -> DataFrame:
+    """One run's report in the history under ``root``, and the same rows as CSV; read back.
+
+    The folder is named after the run, so a run that is repeated replaces its report.
+    """
+    report.write.mode("overwrite").parquet(f"{root}/history/run={run}")
+    written = report.sparkSession.read.parquet(f"{root}/history/run={run}")
+    written.coalesce(1).write.mode("overwrite").csv(f"{root}/csv/run={run}", header=True)
+    return written
+
+
 def serving_snapshot(
     features: DataFrame, key: str, names: list[str], order: tuple[str, ...] = ()
 ) -> DataFrame:

@@ -1,10 +1,15 @@
 """The command-line steps, one after the other, on a small CSV."""
 
+import base64
+import datetime as dt
+import json
+
 import numpy as np
 import pytest
 
-from tallyspan.jobs import run
-from tallyspan.sources.writers import read_latest
+from tallyspan.jobs import MESSAGE, run
+from tallyspan.sources.writers import read_latest, write_feature_list
+from tallyspan.streaming.rolling import read_vectors
 
 
 def test_steps(spark, tmp_path):
@@ -41,14 +46,41 @@ def test_steps(spark, tmp_path):
     step("score-statements", "--model", at("out/model"), "--input", at("clean"), "--output", at("scores2"))
     a, b = ({r["id"]: r["default_probability"] for r in spark.read.parquet(at(p)).collect()} for p in ("scores", "scores2"))
     assert a == pytest.approx(b)
-    step("drift", "--baseline", at("train"), "--current", at("test"), "--output", at("drift"))
-    assert spark.read.parquet(at("drift")).count() > 40
+    for _ in range(2):  # a repeated run replaces its report
+        step("drift", "--baseline", at("train"), "--current", at("test"), "--output", at("drift"), "--run", "may",
+             "--alerts", '{"x_mean": 1e9}')
+    drift = spark.read.parquet(at("drift/report/history"))
+    assert 40 < drift.count() == drift.select("feature_name").distinct().count()
+    assert spark.read.csv(at("drift/report/csv"), header=True).count() == drift.count()
+    assert spark.read.parquet(at("drift/alerts/history")).where("feature_name = 'x_mean' AND NOT alert").count() == 1
+    step("tune", "--input", at("train"), "--output", at("tuned"), "--trials", "1", "--folds", "2", "--rounds", "2")
+    step("train", "--input", at("train"), "--output", at("again"), "--selector-rounds", "1", "--rounds", "2",
+         "--tuned", at("tuned"), "--min-features", "1", "--max-features", "4")
+    step("cross-validate", "--input", at("train"), "--output", at("cv"), "--folds", "2", "--rounds", "2")
+    assert spark.read.json(at("cv/metrics/json")).selectExpr("size(fold_metrics) AS n").first()["n"] == 2
+    step("evaluate", "--input", at("cv/oof"), "--output", at("report"))
+    assert spark.read.csv(at("report/comparison"), header=True).count() == 2
     spark.createDataFrame([("k1", "2024-01"), ("k2", "2023-12")], "id string, statement_cycle string").write.parquet(at("changes"))
     step("refresh", "--history", at("clean"), "--changes", at("changes"), "--features", at("out/selected_features"),
          "--serving", at("serving"), "--cycle", "2024-01")
     assert [r["id"] for r in read_latest(spark, at("serving")).collect()] == ["k1"]
 
 
+def test_streams(spark, tmp_path):
+    at = lambda name: str(tmp_path / name)
+    say = lambda place, text: (base64.b64encode(text.encode()).decode(), dt.datetime(2024, 1, 1), place)
+    rows = [say(i, json.dumps({"id": f"k{i % 2}", "day": f"2024-01-0{i + 1}", "x": float(i)})) for i in range(6)]
+    spark.createDataFrame([*rows, say(6, "nothing")], MESSAGE).write.parquet(at("messages"))
+    write_feature_list(spark, ["x_mean", "x_last"], at("wanted"))
+    common = ["--id", "id", "--date", "day", "--input", at("messages"), "--schema", "id string, day string, x double"]
+    for _ in range(2):  # nothing new the second time
+        run(spark, ["ingest", *common, "--output", at("root"), "--checkpoint", at("c1")])
+        run(spark, ["stream-features", *common, "--output", at("root"), "--checkpoint", at("c2"), "--features", at("wanted")])
+    assert [spark.read.parquet(at(f"root/{n}")).count() for n in ("history", "changes", "rejects")] == [6, 6, 1]
+    found = {r["id"]: r["features"] for r in read_vectors(spark, at("root"), "id").collect()}
+    assert found == {"k0": {"x_mean": 2.0, "x_last": 4.0}, "k1": {"x_mean": 3.0, "x_last": 5.0}}
+
+
 def test_bad_arguments(spark):
     with pytest.raises(SystemExit):
         run(spark, ["nothing"])
