@@ -101,6 +101,13 @@ def bucket_top(bucket: Column) -> Column:
     return ((bucket - shift * 16 + 1) * F.pow(F.lit(2.0), shift) - 1).cast("long")
 
 
+def _levels(lang: Column, source: Column) -> Column:
+    """A group's own sketch, its language's and that of all documents."""
+    none = F.lit(None).cast("string")
+    level = lambda n, l, s: F.struct(F.lit(n).alias("level"), l.alias("l"), s.alias("s"))
+    return F.array(level(0, lang, source), level(1, lang, none), level(2, none, none))
+
+
 def fences(features: DataFrame) -> DataFrame:
     """One row per (lang, source): ``{measure}_hi`` and, where two-sided, ``{measure}_lo``.
 
@@ -116,12 +123,7 @@ def fences(features: DataFrame) -> DataFrame:
     )
     counts = long.groupBy("lang", "source", "measure", "bucket").agg(F.count(F.lit(1)).alias("n"))
     levels = counts.select(
-        F.inline(F.array(
-            F.struct(F.lit(0).alias("level"), F.col("lang").alias("l"), F.col("source").alias("s")),
-            F.struct(F.lit(1).alias("level"), F.col("lang").alias("l"), F.lit(None).cast("string").alias("s")),
-            F.struct(F.lit(2).alias("level"), F.lit(None).cast("string").alias("l"), F.lit(None).cast("string").alias("s")),
-        )),
-        "measure", "bucket", "n",
+        F.inline(_levels(F.col("lang"), F.col("source"))), "measure", "bucket", "n"
     ).groupBy("level", "l", "s", "measure", "bucket").agg(F.sum("n").alias("n"))
     sketch = Window.partitionBy("level", "l", "s", "measure")
     running = levels.select(
@@ -142,22 +144,14 @@ def fences(features: DataFrame) -> DataFrame:
         *[F.max(F.when(F.col("measure") == m, F.col("lo"))).alias(f"{m}_lo") for m in TWO_SIDED],
     )
     limits = [f"{m}_hi" for m in SLACK] + [f"{m}_lo" for m in TWO_SIDED]
-    packed = F.struct(*limits)
-    at = lambda level: wide.where(F.col("level") == level)
-    own = at(0).select(F.col("l").alias("lang"), F.col("s").alias("source"), "total", packed.alias("own"))
-    by_lang = at(1).select(F.col("l").alias("l1"), F.col("total").alias("t1"), packed.alias("of_lang"))
-    overall = at(2).select(F.lit(1).alias("one"), packed.alias("of_all"))
-    chosen = (
-        own.withColumn("one", F.lit(1))
-        .join(by_lang, F.col("lang").eqNullSafe(F.col("l1")))
-        .join(overall, "one")
-        .select(
-            "lang", "source",
-            F.when(F.col("total") >= MIN_GROUP, F.col("own"))
-            .when(F.col("t1") >= MIN_GROUP, F.col("of_lang"))
-            .otherwise(F.col("of_all")).alias("limits"),
-        )
+    wide = wide.where((F.col("total") >= MIN_GROUP) | (F.col("level") == 2))
+    # each group asks for its own fence, its language's and the overall one, and takes the first there is
+    asked = counts.select(F.col("lang"), F.col("source")).distinct().select(
+        "lang", "source", F.inline(_levels(F.col("lang"), F.col("source")))
     )
+    same = [asked[c].eqNullSafe(wide[c]) for c in ("level", "l", "s")]
+    found = asked.join(wide, same[0] & same[1] & same[2]).select("lang", "source", asked["level"], F.struct(*limits).alias("limits"))
+    chosen = found.groupBy("lang", "source").agg(F.min_by("limits", "level").alias("limits"))
     return chosen.select("lang", "source", "limits.*")
 
 
