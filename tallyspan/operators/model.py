@@ -25,7 +25,7 @@ from tallyspan.operators.clean import split_features_target
 from tallyspan.operators.evaluate import FOLD_METRICS, best_fold, evaluate, fold_metrics, ranking_metrics
 from tallyspan.operators.features import align_features, build_features
 from tallyspan.operators.importance import select_features
-from tallyspan.operators.refresh import tiered_lookup
+from tallyspan.operators.refresh import tiered_values
 from tallyspan.operators.sampling import FOLDS, SEED, sample_n, stratified_folds
 from tallyspan.operators.skew import hash_rank
 from tallyspan.operators.summary import scale_pos_weight
@@ -378,9 +378,9 @@ def tiered_score(
     model: RiskModel, requests: DataFrame, cache: DataFrame, table: DataFrame, key: str
 ) -> DataFrame:
     """Score each requested key from the cache, else the table; without data the score is NULL."""
-    found = tiered_lookup(requests, cache, table, key, model.features)
+    found = tiered_values(requests, cache, table, key, model.features)
     known = F.col("tier_used") != "INSUFFICIENT_DATA"
-    wide = found.select(key, "tier_used", *[F.col("features")[n].alias(n) for n in model.features])
+    wide = found.select(key, "tier_used", *[F.get("values", F.lit(i)).alias(n) for i, n in enumerate(model.features)])
     scored = model.probability(wide, "_p")
     score = F.when(known, F.col("_p"))
     return scored.select(
@@ -456,9 +456,12 @@ def permutation_importance(
     """How much ROC-AUC falls when one feature's values are shuffled between rows.
 
     Every row gets a donor: the row with the same rank in a second seeded hash order.
-    A row then appears once per feature, with that one entry of its vector taken from
-    the donor, so all features are scored in one transform and ranked in one job.
+    A row then appears once per feature the trees split on, with that one entry of its vector
+    taken from the donor, so these features are scored in one transform and ranked in
+    one job.  No score depends on the others: their importance is 0 and costs nothing.
     """
+    used = [i for i, w in enumerate(model.classifier.featureImportances.toArray()) if w > 0]
+    idle = [n for i, n in enumerate(model.features) if i not in set(used)]
     encode = PipelineModel(model.stages.stages[:-1])
     shaped = encode.transform(with_inputs(df, model.numeric, model.text)).select(
         key, target, vector_to_array(FEATURES).alias("_own")
@@ -467,7 +470,7 @@ def permutation_importance(
     donors = hash_rank(shaped, [], [key], f"{seed}/b", rank="_rank").select("_rank", F.col("_own").alias("_other"))
     paired = receivers.join(donors, "_rank")
     # place -1 is the row as it is
-    places = paired.withColumn("_at", F.explode(F.sequence(F.lit(-1), F.lit(len(model.features) - 1))))
+    places = paired.withColumn("_at", F.explode(F.array(*[F.lit(i) for i in (-1, *used)])))
     swapped = F.transform("_own", lambda v, i: F.when(i == F.col("_at"), F.get("_other", i)).otherwise(v))
     rows = places.select(target, "_at", array_to_vector(swapped).alias(FEATURES))
     scored = model.classifier.transform(rows).select(
@@ -480,12 +483,13 @@ def permutation_importance(
         F.collect_list(F.struct("_at", "roc_auc")).alias("rows"),
     )
     names = F.array(*[F.lit(n) for n in model.features])
-    drops = packed.select("intact", F.explode("rows").alias("r")).where(F.col("r._at") >= 0)
+    drop = lambda r: F.struct(
+        F.get(names, r["_at"]).alias("feature"), (F.col("intact") - r["roc_auc"]).alias("importance")
+    )
+    drops = F.transform(F.filter("rows", lambda r: r["_at"] >= 0), drop)
+    zeros = [F.struct(F.lit(n).alias("feature"), (F.col("intact") * 0).alias("importance")) for n in idle]
     return (
-        drops.select(
-            F.get(names, F.col("r._at")).alias("feature"),
-            (F.col("intact") - F.col("r.roc_auc")).alias("importance"),
-        )
+        packed.select(F.inline(F.concat(drops, F.array(*zeros)) if zeros else drops))
         .orderBy(F.col("importance").desc(), "feature")
         .limit(top)
     )

@@ -122,18 +122,27 @@ def tiered_lookup(
     then the columns of ``table``; else NULL.  Names absent from a cached map are 0.0.
     Requests are made distinct first, so a key asked for many times is joined once.
     """
+    found = tiered_values(requests, cache, table, key, names)
+    features = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.col("values"))
+    return found.select(key, features.alias("features"), "tier_used")
+
+
+def tiered_values(
+    requests: DataFrame, cache: DataFrame, table: DataFrame, key: str, names: Sequence[str]
+) -> DataFrame:
+    """As ``tiered_lookup``, with ``values``: an array in the order of ``names``, so that
+    who wants columns reads each by its place."""
     asked = requests.select(key).distinct()
-    pairs = [x for n in names for x in (F.lit(n), F.coalesce(F.col("features")[n], F.lit(0.0)))]
-    hits = cache.where(F.col("features").isNotNull()).select(key, F.create_map(*pairs).alias("_cached"))
+    cached = F.array(*[F.coalesce(F.col("features")[n], F.lit(0.0)) for n in names])
+    hits = cache.where(F.col("features").isNotNull()).select(key, cached.alias("_cached"))
     have = set(table.columns)
-    columns = [
-        x for n in names for x in (F.lit(n), F.col(n).cast("double") if n in have else F.lit(0.0))
-    ]
-    stored = table.select(key, F.create_map(*columns).alias("_stored"))
+    stored = table.select(
+        key, F.array(*[F.col(n).cast("double") if n in have else F.lit(0.0) for n in names]).alias("_stored")
+    )
     joined = asked.join(hits, key, "left").join(stored, key, "left")
     tier = (
         F.when(F.col("_cached").isNotNull(), TIER_CACHE)
         .when(F.col("_stored").isNotNull(), TIER_TABLE)
         .otherwise(TIER_NONE)
     )
-    return joined.select(key, F.coalesce("_cached", "_stored").alias("features"), tier.alias("tier_used"))
+    return joined.select(key, F.coalesce("_cached", "_stored").alias("values"), tier.alias("tier_used"))

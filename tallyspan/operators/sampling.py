@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.functions.scalar import hash_bucket
-from tallyspan.operators.skew import hash_rank
+from tallyspan.operators.skew import CELL, cell, hash_rank, ordered_slices, slice_totals
 
 # Seed and number of folds.
 SEED = 42
 FOLDS = 5
 
+# Up to this many first rows are merged in one task.
+ONE_TASK_ROWS = 10_000
+
 
 def hash_split(df: DataFrame, key: str, train_ratio: float) -> tuple[DataFrame, DataFrame]:
     """(train, test) by the key's hash bucket; all rows of a key fall on one side, those
@@ -25,13 +28,25 @@ def hash_split(df: DataFrame, key: str, train_ratio: float) -> tuple[DataFrame,
     return df.where(bucket < edge), df.where(F.coalesce(bucket >= edge, F.lit(True)))
 
 
-def limited_scan(df: DataFrame, max_rows: int | None, order: Sequence[str]) -> DataFrame:
-    """The whole table, or its first ``max_rows`` rows along ``order``."""
+def limited_scan(
+    df: DataFrame, max_rows: int | None, order: Sequence[str], one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """The whole table, or its first ``max_rows`` rows along ``order``.
+
+    A few rows are merged in one task; more are cut from range slices, one row of which
+    gives its size, and slices that lie beyond the limit are not read.
+    """
     if max_rows is None:
         return df
     if max_rows <= 1:
         raise ValueError("max_rows must be greater than 1.")
-    return df.orderBy(*order).limit(max_rows)
+    if max_rows <= one_task_rows:
+        return df.orderBy(*order).limit(max_rows)
+    sliced = ordered_slices(df, order)
+    offsets = slice_totals(sliced, [], {"_n": F.count(F.lit(1))}).where(F.col("_n_before") < max_rows)
+    joined = sliced.select(*df.columns, cell([])).join(F.broadcast(offsets), CELL)
+    place = F.row_number().over(Window.partitionBy(CELL).orderBy(*order)) + F.col("_n_before")
+    return joined.select(*df.columns, place.alias("_place")).where(F.col("_place") <= max_rows).select(*df.columns)
 
 
 def balanced_sample(df: DataFrame, key: str, target: str, max_rows: int, seed: int = SEED) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from tallyspan.operators import quantiles
 from tallyspan.operators.quantiles import distributed_quantiles, grouped_quantiles
 from tallyspan.operators.sequence import number_copies
 from tallyspan.operators.skew import hash_rank, hot_keys, null_safe, running_sums, split_hot
@@ -108,6 +109,28 @@ def test_distributed_quantiles_whole_table(spark):
     np.testing.assert_allclose(got, np.quantile(vs, PROBS), rtol=1e-12)
 
 
+@pytest.mark.parametrize("missing", [False, True])
+def test_bracketed_quantiles(spark, monkeypatch, missing):
+    """Only values near the wanted ranks are kept; a bracket that misses is made good."""
+    monkeypatch.setattr(quantiles, "SKETCH", 100)
+    if missing:  # brackets around other ranks
+        kept = quantiles.bracketed
+        monkeypatch.setattr(quantiles, "bracketed", lambda df, by, probs: kept(df, by, [p / 2 + 0.2 for p in probs]))
+    rng = np.random.default_rng(5)
+    groups = {
+        "wide": rng.normal(size=5000), "lumpy": rng.integers(0, 4, 3000).astype(float), "few": np.array([1.0, 2.0, 4.0]),
+        None: np.concatenate([np.full(400, -np.inf), rng.normal(size=400), np.full(701, np.inf)]),
+    }
+    df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "g string, v double").repartition(4)
+    got = {r["g"]: r["quantiles"] for r in distributed_quantiles(df, ["g"], "v", [0.5, 0.1, 0.9]).collect()}
+    for k, vs in groups.items():
+        np.testing.assert_allclose(got[k], [np.quantile(vs, p) if k else np.sort(vs)[round(p * 1500)] for p in (0.5, 0.1, 0.9)], rtol=1e-12)
+    if not missing:
+        histogram = quantiles.bracketed(df.select("g", F.col("v").alias("_v")), ["g"], [0.5])
+        assert histogram.where("g = 'wide'").count() < 1000
+        assert histogram.agg(F.sum("_n")).first()[0] == df.count()
+
+
 def test_number_copies(spark, monkeypatch):
     monkeypatch.setattr("tallyspan.operators.sequence.COPY_BLOCK", 4)
     df = spark.createDataFrame([("a", 1)] * 11 + [("b", 2)], "k string, v int")

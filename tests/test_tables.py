@@ -150,6 +150,9 @@ def test_samples(labels):
     assert 0 < sampling.sample_rate(labels, 0.5).count() < 503 and sampling.sample_rate(labels, 1.0).count() == 503
     kept = sampling.bernoulli_stratified(labels, "target", {1: 1.0, 0: 0.0})
     assert kept.count() == 51
+    for limit in (100, 503, 600):  # cut from slices
+        first = sampling.limited_scan(labels.repartition(5), limit, ["id"], one_task_rows=10)
+        assert sorted(r["id"] for r in first.collect()) == sorted(r["id"] for r in labels.collect())[:limit]
     for bad in (lambda: sampling.balanced_sample(labels, "id", "target", 1), lambda: sampling.limited_scan(labels, 1, ["id"])):
         with pytest.raises(ValueError):
             bad()
