@@ -92,6 +92,14 @@ def blocks(rows: list[tuple[int, bytes]]) -> Iterator[list[tuple[int, bytes]]]:
         yield lot
 
 
+def free_name(df: DataFrame) -> str:
+    """A column name that the frame does not have."""
+    name = "_row"
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def keyed(docs: DataFrame, name: str = "_key") -> DataFrame:
     """Adds a key, unique and ordered as doc_id.
 
