@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm.anchors import mix
 from tallyspan.llm.common import query, small_batches, table
-from tallyspan.llm.repeats import blocks, coded, Unit
+from tallyspan.llm.repeats import blocks, coded, free_name, keyed, Unit
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -181,10 +181,12 @@ def _finder(block: pa.Table):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no window similar to an item; those without a doc_id are
-    judged like others, but stay, as no key names them."""
-    tainted = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(tainted, "doc_id", "left_anti").select(*docs.columns)
+    """The documents that hold no window similar to an item, row by row: rows that share
+    a doc_id, or have none, are judged each by its own text."""
+    key = free_name(docs)
+    rows = keyed(docs, key)
+    tainted = contaminated(rows.select(F.col(key).alias("doc_id"), "text"), benchmark)
+    return rows.join(tainted.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
 
 
 @query("op10_decontaminate")

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.llm.common import kept, query, small_batches, table
 from tallyspan.llm.components import components
+from tallyspan.llm.repeats import free_name, keyed
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # (lowest bit, bits)
 RADIUS = 2
@@ -181,9 +182,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group stays, the one with the smallest doc_id (of rows that
     repeat it, one); documents without a doc_id stay."""
-    groups = near_duplicates(docs)
-    loses = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(loses, "doc_id", "left_anti").select(*docs.columns)
+    key = free_name(docs)
+    rows = keyed(docs, key)
+    groups = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"))
+    loses = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(key))
+    return rows.join(loses, key, "left_anti").union(rows.where("doc_id IS NULL").join(loses, key, "left_semi")).select(*docs.columns)
 
 
 @query("op8_simhash")
