@@ -1,20 +1,21 @@
 """Operator 9, HTML extraction with nearest-URL page differencing.
 
 Every page is read into visible blocks in page order.  Within a host, pages are sorted by
-URL path and each is paired with the neighbour whose path is nearest (more leading path
-parts in common).  The blocks of a pair are aligned by longest common subsequence, and
-blocks that both share are deleted: what stands in the same order on two pages is the
-site's, not the article's.
+URL path and each is compared with the page before and after it whose text differs, the one with
+the nearer path (more leading path parts in common) first; the first that is no copy decides.
+The blocks of the pair are aligned by longest common subsequence, and open blocks that both
+share are deleted: what stands in the same order on two pages is the site's, not the article's.
+Open blocks outside an article that the page does have are kept if its neighbour does not share them.
 
 Two things limit the deletion.  Blocks inside an article or main element are the text
 itself and stay, and pages of which most text is shared are copies of each other,
-so nothing is deleted from them.  Menus, headers, footers, sidebars, notices, adverts, forms and
+so neither decides over the other.  Menus, headers, footers, sidebars, notices, adverts, forms and
 comments that are marked as such go in any case, shared or not.
 
 Hosts of any size are sorted by range slices; only block hashes travel to be aligned.
 
 Defined results: NULL html is empty text; pages without url, or alone in their host, are
-cleaned by marks alone; repeated rows each give their row; markup that breaks off ends with
+cleaned by marks alone (open blocks go if there is an article); repeated rows each give their row; markup that breaks off ends with
 the page; an empty table gives no rows; columns beyond the three are ignored.
 """
 
@@ -190,22 +191,28 @@ def common_subsequence(a: list, b: list) -> list[int]:
     return [*range(low), *reversed(middle), *range(len(a) - high, len(a))]
 
 
-def deleted(mine: dict, other: dict) -> list[int]:
-    """Blocks of a page that its neighbour shares and that are not its text."""
-    shared = set(common_subsequence(mine["hashes"], other["hashes"]))
-    weight = lambda page, places: sum(page["sizes"][i] for i in places if page["kinds"][i] != BOILER)
-    smaller = min(weight(mine, range(len(mine["hashes"]))), weight(other, range(len(other["hashes"]))))
-    if weight(mine, shared) > COPY * smaller:
-        return []
-    return [i for i in sorted(shared) if mine["kinds"][i] == OPEN]
-
-
-def main_text(page: str, drop: list[int] | None = None) -> str:
-    """The article: blocks inside one if the page has any, else the open blocks."""
-    blocks, gone = read_blocks(page), set(drop or ())
+def flipped(mine: dict, others: list) -> list[int]:
+    """Open blocks that the first neighbour which is no copy decides otherwise than marks alone:
+    those it shares, or, on a page that has an article, those it does not share."""
+    for other in others:
+        if other is None:
+            continue
+        shared = set(common_subsequence(mine["hashes"], other["hashes"]))
+        weight = lambda page, places: sum(page["sizes"][i] for i in places if page["kinds"][i] != BOILER)
+        smaller = min(weight(mine, range(len(mine["hashes"]))), weight(other, range(len(other["hashes"]))))
+        if weight(mine, shared) <= COPY * smaller:
+            inside = MAIN in mine["kinds"]
+            return [i for i, kind in enumerate(mine["kinds"]) if kind == OPEN and (i in shared) != inside]
+    return []
+
+
+def main_text(page: str, flip: list[int] | None = None) -> str:
+    """By marks alone, the blocks inside an article if the page has any, else the open ones;
+    neighbours turn that around for the blocks in ``flip``."""
+    blocks, turned = read_blocks(page), set(flip or ())
     inside = any(kind == MAIN for _, kind in blocks)
     wanted = MAIN if inside else OPEN
-    return "\n\n".join(t for i, (t, kind) in enumerate(blocks) if kind == wanted and i not in gone)
+    return "\n\n".join(t for i, (t, kind) in enumerate(blocks) if (kind == wanted) != (i in turned))
 
 
 def host_of(url: Column) -> Column:
@@ -217,18 +224,31 @@ def path_of(url: Column) -> Column:
 
 
 def neighbours(pages: DataFrame) -> DataFrame:
-    """row, other: each page with the nearest page of its host, the one before it if both
-    are as near.  Pages are sorted in slices; the edges of slices, one row each, are joined
-    on, so the slicing does not show."""
-    place = F.struct("host", "path", "row")
-    sliced = ordered_slices(pages.where("host <> ''").select("host", "path", "row"), ["host", "path", "row"])
-    inside = Window.partitionBy(SLICE).orderBy("host", "path", "row")
-    edges = sliced.groupBy(SLICE).agg(F.min(place).alias("low"), F.max(place).alias("high"))
-    order = Window.orderBy(SLICE)  # one row for each slice
-    edges = edges.select(SLICE, F.lag("high").over(order).alias("low"), F.lead("low").over(order).alias("high"))
-    near = sliced.select("*", F.lag(place).over(inside).alias("a"), F.lead(place).over(inside).alias("b"))
+    """row, near, far: for each page the page before and the page after it in its host whose
+    text differs, the one with the nearer path first (the one before if both are as near).
+    Pages are sorted in slices; the edges of slices, one row each, are joined on, so the slicing
+    shows only where equal pages fill a whole slice."""
+    place = F.struct("host", "path", "row", "body")
+    sliced = ordered_slices(pages.where("host <> ''").select("host", "path", "row", "body"), ["host", "path", "row"])
+    order = ("host", "path", "row")
+    onward = Window.partitionBy(SLICE).orderBy(*order)
+    backward = Window.partitionBy(SLICE).orderBy(*(F.col(c).desc() for c in order))
+    differs = lambda p: (p["host"] != F.col("host")) | (p["body"] != F.col("body"))
+    near = sliced
+    for name, way in (("a", onward), ("b", backward)):
+        near = near.withColumn("next", F.lag(place).over(way)).withColumn(
+            name, F.last(F.when(differs(F.col("next")), F.col("next")), ignorenulls=True).over(way.rowsBetween(Window.unboundedPreceding, 0))
+        )
+    near = near.drop("next")
+    edges = near.groupBy(SLICE).agg(
+        F.min(F.struct(place.alias("at"), F.col("b").alias("other"))).alias("low"),
+        F.max(F.struct(place.alias("at"), F.col("a").alias("other"))).alias("high"),
+    )
+    slices = Window.orderBy(SLICE)  # one row for each slice
+    edges = edges.select(SLICE, F.lag("high").over(slices).alias("low"), F.lead("low").over(slices).alias("high"))
+    edge = lambda e: F.when(differs(F.col(e)["at"]), F.col(e)["at"]).otherwise(F.col(e)["other"])
     joined = near.join(F.broadcast(edges), SLICE).select(
-        "host", "path", "row", F.coalesce("a", "low").alias("a"), F.coalesce("b", "high").alias("b")
+        "host", "path", "row", F.coalesce("a", edge("low")).alias("a"), F.coalesce("b", edge("high")).alias("b")
     )
     parts = lambda p: F.split(p, "/")
     common = lambda p: F.aggregate(
@@ -239,62 +259,68 @@ def neighbours(pages: DataFrame) -> DataFrame:
     )
     near_by = lambda c: F.when(F.col(c)["host"] == F.col("host"), common(F.col(c)["path"])).otherwise(-1)
     scored = joined.select("row", "a", "b", F.coalesce(near_by("a"), F.lit(-1)).alias("na"), F.coalesce(near_by("b"), F.lit(-1)).alias("nb"))
+    other = lambda c: F.when(F.col(f"n{c}") >= 0, F.col(c)["row"])
     return scored.where("na >= 0 OR nb >= 0").select(
-        "row", F.when(F.col("na") >= F.col("nb"), F.col("a")["row"]).otherwise(F.col("b")["row"]).alias("other")
+        "row", F.when(F.col("na") >= F.col("nb"), other("a")).otherwise(other("b")).alias("near"),
+        F.when(F.col("na") >= F.col("nb"), other("b")).otherwise(other("a")).alias("far"),
     )
 
 
 def outlines(pages: DataFrame) -> DataFrame:
-    """row, host, path and the hashes, sizes and kinds of each page's blocks."""
+    """row, host, path and the hashes, sizes and kinds of each page's blocks; body, a hash of
+    those that are not boilerplate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blocks = [read_blocks(h or "") for h in batch.column("html").to_pylist()]
             hashes = [[xxhash.xxh3_64_intdigest(t.encode()) - (1 << 63) for t, _ in page] for page in blocks]
+            bodies = [xxhash.xxh3_64_intdigest("\n".join(t for t, k in p if k != BOILER).encode()) - (1 << 63) for p in blocks]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"), batch.column("host"), batch.column("path"), pa.array(hashes, pa.list_(pa.int64())),
                     pa.array([[len(t) for t, _ in p] for p in blocks], pa.list_(pa.int32())),
                     pa.array([[k for _, k in p] for p in blocks], pa.list_(pa.int32())),
+                    pa.array(bodies, pa.int64()),
                 ],
-                ["row", "host", "path", "hashes", "sizes", "kinds"],
+                ["row", "host", "path", "hashes", "sizes", "kinds", "body"],
             )
 
     url = F.coalesce("url", F.lit(""))
     return pages.select("row", host_of(url).alias("host"), path_of(url).alias("path"), "html").mapInArrow(
-        run, "row bigint, host string, path string, hashes array<bigint>, sizes array<int>, kinds array<int>"
+        run, "row bigint, host string, path string, hashes array<bigint>, sizes array<int>, kinds array<int>, body bigint"
     )
 
 
-def shared_blocks(pages: DataFrame) -> DataFrame:
-    """row, drop: the blocks to delete, for pages that have any."""
+def turned_blocks(pages: DataFrame) -> DataFrame:
+    """row, flip: the open blocks that neighbours decide otherwise than marks alone, for pages that have any."""
     lined = kept(outlines(pages))
-    pairs = neighbours(lined)
     whole = F.struct("hashes", "sizes", "kinds")
-    mine = pairs.join(lined.select("row", whole.alias("mine")), "row")
-    both = mine.join(lined.select(F.col("row").alias("other"), whole.alias("theirs")), "other")
+    mine = lined.where(F.array_contains("kinds", OPEN)).select("row", whole.alias("mine")).join(neighbours(lined), "row")
+    side = lambda name: lined.select(F.col("row").alias(name), whole.alias(f"of_{name}"))
+    both = mine.join(side("near"), "near").join(side("far"), "far", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [deleted(a, b) for a, b in zip(batch.column("mine").to_pylist(), batch.column("theirs").to_pylist())]
+            sides = zip(*(batch.column(c).to_pylist() for c in ("mine", "of_near", "of_far")))
+            found = [flipped(m, others) for m, *others in sides]
             some = np.array([bool(f) for f in found], bool)
-            drop = pa.array([f for f in found if f], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("row").filter(pa.array(some)), drop], ["row", "drop"])
+            flip = pa.array([f for f in found if f], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("row").filter(pa.array(some)), flip], ["row", "flip"])
 
-    return both.select("row", "mine", "theirs").mapInArrow(run, "row bigint, drop array<int>")
+    return both.select("row", "mine", "of_near", "of_far").mapInArrow(run, "row bigint, flip array<int>")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every page (page_id, url, html) that comes straight from a scan."""
     small_batches(pages.sparkSession)
     rows = row_keys(pages.select("page_id", "url", "html"), "row")
-    drops = kept(shared_blocks(rows))
-    longest = drops.agg(F.max(F.size("drop"))).first()[0] or 0
-    joined = rows.join(bounded_broadcast(drops, 32 + 4 * longest), "row", "left").drop("row")
+    flips = kept(turned_blocks(rows))
+    longest = flips.agg(F.max(F.size("flip"))).first()[0] or 0
+    joined = rows.join(bounded_broadcast(flips, 32 + 4 * longest), "row", "left").drop("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h or "", d) for h, d in zip(batch.column("html").to_pylist(), batch.column("drop").to_pylist())]
+            texts = [main_text(h or "", d) for h, d in zip(batch.column("html").to_pylist(), batch.column("flip").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     return joined.mapInArrow(run, f"page_id {dict(pages.dtypes)['page_id']}, url string, text string")
