@@ -11,6 +11,7 @@ from tallyspan.llm import (
     quality_rules,
     simhash,
     suffix_dedup,
+    token_counts,
     toxicity,
     warc,
 )
