@@ -6,6 +6,7 @@ from tallyspan.llm import (
     automaton_dedup,
     bpe,
     chat_format,
+    collocations,
     decontaminate,
     html_text,
     quality_rules,
