@@ -90,7 +90,7 @@ def test_parts_of_long_texts_count_the_same(limit):
 
 def test_bitmaps_hold_every_hash(spark):
     hashes = np.random.default_rng(1).integers(0, 1 << 63, 4000, np.uint64) * np.uint64(2) + np.uint64(1)
-    hashes = np.concatenate([hashes, [0, (1 << 64) - 1, 7, 8, 15]]).astype(np.uint64)
+    hashes = np.concatenate([hashes, np.array([0, (1 << 64) - 1, 7, 8, 15], np.uint64)])
     df = spark.createDataFrame([(h,) for h in hashes.view(np.int64).tolist()], "h bigint")
     for slot, place in ((C.SHARD_SLOT, C.shard_slots), (C.SLOT, C.slots)):
         bits = C.bitmap(df, slot)
