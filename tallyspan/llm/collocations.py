@@ -40,7 +40,7 @@ SHARDS = 8
 TOP = 2000
 COVERED = 80
 SLOT_BITS = 27
-LOT_BYTES = 8 << 20
+LOT_BYTES = 4 << 20
 # A phrase counts as frequent in a shard from this share of the shard's support; the rest is rounding.
 ENOUGH = 1 - 1e-6
 
@@ -83,6 +83,7 @@ class Lot:
         solid[1:] = (raw != 32) & (raw != 10)
         edges = np.diff(solid)
         starts, ends = np.nonzero(edges == 1)[0], np.nonzero(edges == -1)[0]
+        del edges
         limits = np.cumsum([len(body) + 1 for _, body, _ in rows])
         row = np.searchsorted(limits, starts, "right")
         self.piece = np.searchsorted(np.nonzero(raw == 10)[0], starts)
