@@ -8,6 +8,7 @@ from tallyspan.llm import (
     chat_format,
     collocations,
     decontaminate,
+    hard_negatives,
     html_text,
     quality_rules,
     simhash,
