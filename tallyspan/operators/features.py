@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.functions.names import (
@@ -43,15 +43,17 @@ def _aliases(spec: Spec, columns: Sequence[str]) -> dict[str, str]:
     return {c: f"{c}_value" if c in roles else c for c in columns}
 
 
-def exact_median(value: str) -> str:
-    """The mean of the two middle values of the sorted list.
+# What the secondary sort of an entity's values gives each of them: its rank among the present
+# values of its place, how many those are, and whether it is the first of its kind there.
+RANK = "_rank"
+PRESENT = "_present"
+NEW = "_new"
 
-    An ordinary entity's values fit a list, and a list is cheaper to fill, pass on and
-    sort than the value counts the built-in median keeps per group.
-    """
-    ordered, n = f"sort_array(collect_list({value}))", f"count({value})"
-    low, high = (f"get({ordered}, CAST({place} AS INT))" for place in (f"({n} - 1) DIV 2", f"{n} DIV 2"))
-    return f"({low} + {high}) / 2"
+
+def exact_median(value: str) -> str:
+    """The mean of the two middle values, picked by rank: nothing of a group is held in memory."""
+    middle = lambda place: f"max({value}) FILTER (WHERE {RANK} = {place})"
+    return f"({middle(f'({PRESENT} + 1) DIV 2')} + {middle(f'{PRESENT} DIV 2 + 1')}) / 2"
 
 
 def numeric_stats(value: str, change: str, approx: bool, skip_nulls: bool) -> dict[str, str]:
@@ -93,15 +95,12 @@ def numeric_stats(value: str, change: str, approx: bool, skip_nulls: bool) -> di
 
 
 def category_stats(value: str, approx: bool, skip_nulls: bool) -> dict[str, str]:
-    """SQL of every statistic of a text column.
-
-    The exact distinct count is the size of a set per entity: several count(DISTINCT)
-    would multiply the rows, and the set of an ordinary entity is bounded by its rows.
-    """
+    """SQL of every statistic of a text column.  The exact distinct count counts the values that
+    differ from the one before in sorted order: several count(DISTINCT) would multiply the rows."""
     return {
         "count": f"count({value})",
         "nunique": (
-            f"approx_count_distinct({value})" if approx else f"CAST(size(collect_set({value})) AS BIGINT)"
+            f"approx_count_distinct({value})" if approx else f"count({NEW}) FILTER (WHERE {NEW})"
         ),
         "last": (
             f"max_by({value}, {FROM_START}) FILTER (WHERE {value} IS NOT NULL)"
@@ -168,10 +167,13 @@ def build_features(
 
     core = _Core(spec, continuous, categorical, features, has_target, options)
     shaped, lagged = core.shape(base, layout)
-    # the median holds an entity's values of every column at once, so the bound is on values
+    # one task sorts an entity's values of every column, so the bound is on values
     key_rows = None if hot_rows is None else max(1, hot_rows // max(1, len(continuous) + len(categorical)))
     usual, hot = sequence_parts(shaped, spec, lagged, hot_rows, key_rows)
-    result = core.wide(usual) if layout == "wide" else core.long(usual)
+    if layout == "wide" and not core.ranked:
+        result = core.wide(usual)
+    else:
+        result = core.long(core.wide_to_long(usual) if layout == "wide" else usual)
     if hot is None:
         return result
     if layout == "wide":
@@ -182,8 +184,10 @@ def build_features(
 class _Core:
     """The two layouts of the same aggregation, over rows that carry their sequence.
 
-    In the long layout, place i of the arrays holds continuous column i and, at once,
-    categorical column i; one pass over the places computes both kinds.
+    In the long layout a row is exploded into places.  Exact medians and distinct counts need the
+    values of a place in order: every column then has a place of its own, and the places of an
+    entity, which one task already holds, are sorted there once more (a sort that spills).
+    Otherwise place i holds continuous column i and, at once, categorical column i.
     """
 
     def __init__(self, spec, continuous, categorical, features, has_target, options):
@@ -201,6 +205,7 @@ class _Core:
         category = {f.stat for f in features if f.raw not in self.is_number}
         self.numeric = [s for s in NUMERIC_STATS if s in numeric]
         self.category = [s for s in CATEGORY_STATS if s in category]
+        self.ranked = not options["approx"] and ("median" in self.numeric or "nunique" in self.category)
 
     def carried(self) -> list:
         return [F.max(t).alias(t) for t in self.target]
@@ -247,10 +252,12 @@ class _Core:
             *self.carried(), *[F.expr(f"{recipes[f.raw][f.stat]} AS {quoted(f.name)}") for f in self.features]
         )
 
-    def explode(self, seq: DataFrame) -> DataFrame:
-        """A row per place.  The rows are already hashed on the entity, so the exploded ones
-        feed the aggregation in the same task and are never shuffled."""
-        arrays = ["_values AS v", "_texts AS t"]
+    def explode(self, seq: DataFrame, apart: bool = False) -> DataFrame:
+        """A row per place, text columns behind the continuous ones if ``apart``.  The rows are
+        already hashed on the entity, so the exploded ones feed the aggregation in the same
+        task and are never shuffled."""
+        texts = f"concat(CAST(array_repeat(NULL, {len(self.continuous)}) AS ARRAY<STRING>), _texts)" if apart else "_texts"
+        arrays = ["_values AS v", f"{texts} AS t"]
         if self.changing:
             arrays.append(f"coalesce({PREVIOUS}, CAST(array() AS ARRAY<DOUBLE>)) AS p")
         entries = F.arrays_zip(*[F.expr(a) for a in arrays])
@@ -263,25 +270,43 @@ class _Core:
             *kept, FROM_START, FROM_END, "_at", "_e.v AS _v", "_e.t AS _t", *change
         )
 
+    def in_order(self, long: DataFrame) -> DataFrame:
+        """The rank of every value inside its place, from one sort within the task, and the place's
+        last text: as part of the key it keeps texts out of the aggregation's buffers, which then
+        are of fixed size and compiled."""
+        values = Window.partitionBy(self.spec.id, "_at").orderBy(F.col("_v").asc_nulls_last(), F.col("_t").asc_nulls_last())
+        whole = values.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ranks = [F.row_number().over(values).alias(RANK), F.count("_v").over(whole).alias(PRESENT)]
+        if "nunique" in self.category:
+            ranks.append((F.col("_t").isNotNull() & ~F.col("_t").eqNullSafe(F.lag("_t").over(values))).alias(NEW))
+        if "last" in self.category:
+            newest = f"max_by(_t, CASE WHEN _t IS NOT NULL THEN {FROM_START} END)"
+            last = newest if self.options["skip_nulls"] else f"max(CASE WHEN {FROM_END} = 1 THEN _t END)"
+            ranks.append(F.expr(last).over(whole).alias("c_last"))
+        return long.select("*", *ranks)
+
     def long_stats(self, long: DataFrame, without: Sequence[str] = ()) -> DataFrame:
-        """One row per (entity, place)."""
+        """One row per (entity, place); what ``long`` already has of a place is part of the key."""
+        have = [f"c_{s}" for s in self.category if f"c_{s}" in long.columns]
         numeric = numeric_stats("_v", "_d", **self.options)
         category = category_stats("_t", **self.options)
         wanted = [(numeric[s], f"n_{s}") for s in self.numeric if s not in without]
-        wanted += [(category[s], f"c_{s}") for s in self.category if s not in without]
+        wanted += [(category[s], f"c_{s}") for s in self.category if s not in without and f"c_{s}" not in have]
         if not wanted:
             wanted = [("count(1)", "_rows")]
-        return long.groupBy(self.spec.id, "_at").agg(
+        return long.groupBy(self.spec.id, "_at", *have).agg(
             *self.carried(), *[F.expr(f"{sql} AS {name}") for sql, name in wanted]
         )
 
-    def gather(self, stats: DataFrame) -> DataFrame:
+    def gather(self, stats: DataFrame, apart: bool = False) -> DataFrame:
         """Back to one row per entity: the stats of place i sit at place i of an array."""
         names = [f"n_{s}" for s in self.numeric] + [f"c_{s}" for s in self.category]
         rows = stats.groupBy(self.spec.id).agg(
             *self.carried(), F.array_sort(F.collect_list(F.struct("_at", *names))).alias("_s")
         )
         place = {c: i for columns in (self.continuous, self.categorical) for i, c in enumerate(columns)}
+        if apart:
+            place |= {c: len(self.continuous) + i for i, c in enumerate(self.categorical)}
         kind = lambda f: "n" if f.raw in self.is_number else "c"
         return rows.selectExpr(
             *[quoted(c) for c in (self.spec.id, *self.target)],
@@ -289,7 +314,9 @@ class _Core:
         )
 
     def long(self, seq: DataFrame) -> DataFrame:
-        return self.gather(self.long_stats(self.explode(seq)))
+        if not self.ranked:
+            return self.gather(self.long_stats(self.explode(seq)))
+        return self.gather(self.long_stats(self.in_order(self.explode(seq, apart=True))), apart=True)
 
     def hot(self, seq: DataFrame) -> DataFrame:
         """Hot entities: everything that combines before the shuffle in one aggregation, the
