@@ -110,13 +110,39 @@ def align_categories(df: DataFrame, categories: Mapping[str, Sequence[str]]) ->
     return df.withColumns({n: one(n, k) for n, k in categories.items()})
 
 
+def category_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value) of every category of the text columns: a table, so of any size."""
+    known = df.unpivot([], [F.col(c).cast("string").alias(c) for c in columns], "column", "value")
+    return known.where(F.col("value").isNotNull()).distinct()
+
+
+def align_to_table(df: DataFrame, known: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``align_categories`` with the categories of a ``category_table``.
+
+    A column's categories join by value, by broadcast where Spark knows them to be small, so a
+    column may have more of them than a driver holds.  An absent column gets its first category.
+    """
+    names = df.columns
+    for i, c in enumerate(columns):
+        own = known.where(F.col("column") == c)
+        if c in names:
+            side = own.select(F.col("value").alias(f"_known_{i}"))
+            value = F.when(F.col(f"_known_{i}").isNotNull(), F.col(c))
+            df = df.join(side, F.col(c).cast("string") == F.col(f"_known_{i}"), "left").withColumn(c, value).drop(f"_known_{i}")
+        else:
+            first = own.agg(F.coalesce(F.min("value"), F.lit("")).alias(c))
+            df = df.join(F.broadcast(first))  # one row
+            names = [*names, c]
+    return df.select(*names)
+
+
 def learn_categories(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> dict[str, list[str]]:
-    """Sorted categories per text column, as kept beside a model.
+    """Sorted categories per text column as lists, to be kept in a document beside a model.
 
-    They travel with the model, so a column with more than ``limit`` of them is an
-    error instead of a silent cut.
+    Lists go through the driver, so a column with more than ``limit`` of them is an error;
+    ``category_table`` and ``align_to_table`` take columns of any size.
     """
-    known = df.unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull()).distinct()
+    known = category_table(df, columns)
     sizes = {r["column"]: r["count"] for r in known.groupBy("column").count().collect()}
     large = sorted(c for c, n in sizes.items() if n > limit)
     if large:

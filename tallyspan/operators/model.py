@@ -12,9 +12,8 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tallyspan.functions.scalar import coerce_numeric, risk_band
 from tallyspan.operators.clean import split_features_target
+from tallyspan.operators.encode import bins_for, encoder, learn_levels
 from tallyspan.operators.evaluate import FOLD_METRICS, best_fold, evaluate, fold_metrics, ranking_metrics
 from tallyspan.operators.features import align_features, build_features
 from tallyspan.operators.importance import select_features
@@ -116,31 +116,10 @@ def with_inputs(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> D
     return df.withColumns(inputs)
 
 
-def encoder(numeric: Sequence[str], text: Sequence[str]) -> Pipeline:
-    """Text columns to category numbers (unseen and NULL share one), then all to a vector."""
-    stages = []
-    if text:
-        stages.append(
-            StringIndexer(
-                inputCols=[f"_x_{c}" for c in text], outputCols=[f"_i_{c}" for c in text],
-                handleInvalid="keep", stringOrderType="alphabetAsc",
-            )
-        )
-    inputs = [f"_x_{c}" for c in numeric] + [f"_i_{c}" for c in text]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES))
-    return Pipeline(stages=stages)
-
-
-def _bins_for(encoded: PipelineModel) -> int:
-    """Trees need as many bins as the largest category list."""
-    sizes = [len(labels) + 1 for s in encoded.stages if hasattr(s, "labelsArray") for labels in s.labelsArray]
-    return max([32, *sizes])
-
-
 def prepare(
     df: DataFrame, key: str, target: str, numeric: Sequence[str], text: Sequence[str], keep: Sequence[str] = ()
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit the encoder and give (key, target, *keep, label, weight, vector) rows.
+    """Learn the encoder and give (key, target, *keep, label, weight, vector) rows.
 
     Positives weigh as much as negatives in total.  Training reads the rows many times,
     so they are dealt evenly over as many tasks as their number deserves, whatever the
@@ -151,7 +130,8 @@ def prepare(
     if weight is None:
         raise ValueError("No positive examples in target.")
     shaped = with_inputs(df, numeric, text)
-    encoded = encoder(numeric, text).fit(shaped)
+    levels = learn_levels(shaped, [f"_x_{c}" for c in text])
+    encoded = encoder(numeric, {c: levels[f"_x_{c}"] for c in text}, FEATURES)
     rows = encoded.transform(shaped).select(
         key, target, *keep,
         F.col(target).cast("double").alias("_label"),
@@ -228,7 +208,7 @@ class FoldData:
     def fit(self, family: str, fold: int, rounds: int, params: Mapping):
         """(model, held-out scores, importance, seconds) of one family without one fold."""
         start = time.perf_counter()
-        learner = FAMILIES[family](rounds, **{"maxBins": _bins_for(self.encoded), **params})
+        learner = FAMILIES[family](rounds, **{"maxBins": bins_for(self.encoded), **params})
         held_out = F.col("fold") == fold
         if isinstance(learner, GBTClassifier):
             model = fit_with_patience(learner, self.rows.where(~held_out), self.rows.where(held_out), rounds)
@@ -292,7 +272,7 @@ def fit_model(
     encoded, rows = prepare(df, key, target, numeric, text)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = FAMILIES[family](rounds, **{"maxBins": _bins_for(encoded), **params}).fit(rows)
+        model = FAMILIES[family](rounds, **{"maxBins": bins_for(encoded), **params}).fit(rows)
     finally:
         rows.unpersist()
     return RiskModel(PipelineModel([*encoded.stages, model]), list(numeric), list(text))
