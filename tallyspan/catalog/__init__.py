@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyspan.catalog import (
     cleaning,
+    ensembles,
     evaluation,
     features,
     modelling,
