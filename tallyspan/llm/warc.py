@@ -11,9 +11,10 @@ Payloads are compared by (SHA-256, SHA-1, length) and every digest is computed a
 what was read.  Only page ids and digests are shuffled to find equal payloads.
 
 Defined results: NULL html is an empty payload; a NULL url gives a record without target;
-line ends in a url are written as %0D and %0A; repeated page_ids give a record each, of
-which any but one counts as a revisit if its payload is large; pages without page_id are
-responses; an empty table writes no record; other columns are ignored.
+line ends in a url are written as %0D and %0A; repeated page_ids give a record each, with a
+name of its own, and of equal large payloads exactly one is the response; pages without
+page_id are responses; a payload that does not have the digest it is stored under ends the
+reading with an error; an empty table writes no record; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import query, shared_folder, small_batches, table
+from tallyspan.llm.common import query, row_keys, shared_folder, small_batches, table
 
 MIN_SHARED = 1000
 RECORDS_PER_FILE = 4000
@@ -38,9 +39,9 @@ DATE = "1970-01-01T00:00:00Z"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 
 
-def record_id(page: Column) -> Column:
-    """A stable record name."""
-    digest = F.md5(F.concat(F.lit("page "), page.cast("string")))
+def record_id(page: Column, row: Column) -> Column:
+    """A record's name: one for each row, also where page ids repeat or are missing."""
+    digest = F.md5(F.concat(F.lit("page "), F.coalesce(page.cast("string"), F.lit("")), F.lit(" row "), row.cast("string")))
     cut = [F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
@@ -57,15 +58,15 @@ def records_of(pages: DataFrame) -> DataFrame:
     corpus is made of copies, and then they are shuffled.
     """
     body = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
-    made = pages.select("page_id", "url", body.alias("payload")).select(
+    made = row_keys(pages.select("page_id", "url", body.alias("payload")), "row").select(
         "*", F.sha2("payload", 256).alias("sha256"), F.sha1("payload").alias("sha1"),
         F.octet_length("payload").cast("long").alias("n"),
     )
     same = made.where((F.col("n") >= MIN_SHARED) & F.col("page_id").isNotNull())
-    leads = same.groupBy("sha256", "sha1", "n").agg(F.max("page_id").alias("lead"), F.count(F.lit(1)).alias("c"))
-    leads = leads.where("c > 1").select("sha256", F.col("lead"))
+    leads = same.groupBy("sha256", "sha1", "n").agg(F.max(F.struct("page_id", "row")).alias("lead"), F.count(F.lit(1)).alias("c"))
+    leads = leads.where("c > 1").select("sha256", "lead")
     joined = made.join(bounded_broadcast(leads, 128), "sha256", "left")
-    revisit = F.col("lead").isNotNull() & (F.col("page_id") < F.col("lead"))
+    revisit = F.col("lead").isNotNull() & F.col("page_id").isNotNull() & (F.col("row") != F.col("lead.row"))
     http = F.concat(F.lit(HTTP), F.col("n").cast("string"), F.lit("\r\n\r\n"))
     length = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("n"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
@@ -73,12 +74,12 @@ def records_of(pages: DataFrame) -> DataFrame:
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        line("WARC-Record-ID", record_id(F.coalesce(F.col("page_id"), F.lit(-1)))),
+        line("WARC-Record-ID", record_id(F.col("page_id"), F.col("row"))),
         F.coalesce(line("WARC-Target-URI", url), F.lit("")),
         line("WARC-Date", F.lit(DATE)),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "sha1")),
         F.when(
-            revisit, F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", record_id(F.col("lead"))))
+            revisit, F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", record_id(F.col("lead.page_id"), F.col("lead.row"))))
         ).otherwise(F.lit("")),
         line("X-Payload-Digest", F.concat(F.lit("sha256:"), "sha256")),
         line("X-Page-ID", F.coalesce(F.col("page_id").cast("string"), F.lit(""))),
@@ -168,14 +169,12 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN lead > page_id THEN lead END AS refers_to FROM l"""
 
 
-@query("op6_warc", SQL)
-def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files, archive = shared_folder(spark), shared_folder(spark)
-    write_warc(records_of(table(spark, sf_dir, "pages")), files)
-    store(read_warc(spark, files), archive)
-    back = restore(spark, archive).where("verified").select(
+def read_back(spark: SparkSession, archive: str) -> DataFrame:
+    """A row for each record of an archive: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    intact = F.assert_true(F.col("verified"), F.lit("A payload does not have the digest it is stored under."))
+    back = restore(spark, archive).where(intact.isNull()).select(
         field("X-Page-ID").cast("long").alias("page_id"), F.col("n").alias("payload_bytes"), F.col("sha1").alias("payload_digest"),
-        field("WARC-Type").alias("record_type"), field("WARC-Record-ID").alias("name"), field("WARC-Refers-To").alias("lead"),
+        field("WARC-Type").alias("record_type"), field("WARC-Refers-To").alias("lead"),
     )
     names = spark.read.parquet(f"{archive}/headers").select(
         field("WARC-Record-ID").alias("lead"), field("X-Page-ID").cast("long").alias("refers_to"), field("WARC-Type").alias("t")
@@ -184,3 +183,11 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     responses = back.where("lead IS NULL").withColumn("refers_to", F.lit(None).cast("long"))
     return responses.select(*columns).union(revisits.select(*columns))
+
+
+@query("op6_warc", SQL)
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files, archive = shared_folder(spark), shared_folder(spark)
+    write_warc(records_of(table(spark, sf_dir, "pages")), files)
+    store(read_warc(spark, files), archive)
+    return read_back(spark, archive)

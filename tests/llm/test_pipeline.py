@@ -9,6 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
+from test_near_copies import kept_rows  # noqa: E402
 
 from tallyspan.llm import bpe  # noqa: E402
 from tallyspan.llm.queries import QUERIES  # noqa: E402
@@ -20,8 +21,7 @@ def test_stages_and_result(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     passed = {r.doc_id for r in QUERIES["op1_quality_rules"](spark, DATA).where("kept").collect()}
     docs = {i: t for i, t in docs.items() if i in passed}
-    group = brute.groups({i: brute.fingerprint(t) for i, t in docs.items()})
-    docs = {i: t for i, t in docs.items() if group[i] == i}
+    docs = dict(kept_rows(docs.items()))
     found = brute.removed_bytes(sorted(docs.items()))
     docs = {i: np.frombuffer(b, np.uint8)[~g].tobytes().decode("utf-8", "ignore") for i, (b, g) in found.items()}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
