@@ -7,22 +7,30 @@ from __future__ import annotations
 
 import argparse
 import json
+import time
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyspan.operators.drift import BINS, PSI_THRESHOLD, drift_alerts, drift_report
 from tallyspan.operators.evaluate import compare_models, evaluate, fold_metrics
+from tallyspan.operators.importance import mean_fold_importance
 from tallyspan.operators.model import (
-    RiskModel, batch_score, best_params, cross_validate, holdout_report, score_statements, search, train_final,
+    RiskModel, batch_score, cross_validate, holdout_report, score_statements, search, search_result, train_final,
+    training_report,
 )
 from tallyspan.operators.sampling import balanced_sample, hash_split, limited_scan
 from tallyspan.plans.batch import features_with_labels, preprocess
 from tallyspan.plans.refresh import refresh
 from tallyspan.session import build_session, materialise
 from tallyspan.sources.readers import read_feature_list, read_labels_csv, read_statements_csv
-from tallyspan.sources.writers import write_feature_list, write_holdout, write_metrics, write_oof, write_parquet, write_run
+from tallyspan.sources.writers import (
+    publish_predictions, read_document, write_document, write_feature_list, write_holdout, write_metrics, write_oof,
+    write_parquet, write_run,
+)
 from tallyspan.spec import Spec
 from tallyspan.streaming.ingest import read_broker, read_messages, start_ingest
 from tallyspan.streaming.rolling import start_features
@@ -79,10 +87,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--folds", type=int, default=5)
     p.add_argument("--rounds", type=int, default=1000)
     p.add_argument("--params", default="{}", help="learner parameters of each model family as JSON")
-    p = step("evaluate", "input", "output")
+    p = step("evaluate", "output")
+    p.add_argument("--input", required=True, nargs="+", help="scores of one run or of several to compare")
+    p.add_argument("--names", type=names, default=(), help="a name for each run, in front of its models' names")
     p.add_argument("--rank-by", default="roc_auc")
     p = step("score", "model", "input", "output")
     p.add_argument("--job", default="score")
+    p.add_argument("--publish", help="store whose readers get the scores as a whole, in the fixed schema")
     step("score-statements", "model", "input", "output")
     p = step("drift", "baseline", "current", "output")
     p.add_argument("--bins", type=int, default=BINS)
@@ -139,16 +150,24 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
             _sampled(read(a.input), a), a.id, a.target, trials=a.trials, folds=a.folds, rounds=a.rounds, metric=a.metric
         )
         write_parquet(trials, f"{a.output}/trials", a.overwrite)
-        best = best_params(read(f"{a.output}/trials"))
-        spark.createDataFrame([(json.dumps(best),)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{a.output}/best_params"
-        )
+        done = search_result(read(f"{a.output}/trials"), a.metric)
+        write_document(spark, done, f"{a.output}/result")
+        write_document(spark, done["best_params"], f"{a.output}/best_params")
     elif a.step == "train":
-        tuned = json.loads(spark.read.text(f"{a.tuned}/best_params").first()[0]) if a.tuned else {}
+        tuned = read_document(spark, f"{a.tuned}/result") if a.tuned else {}
+        params = {**tuned.get("best_params", {}), **json.loads(a.params)}
+        rows, began = _sampled(read(a.input), a), time.perf_counter()
         final = train_final(
-            _sampled(read(a.input), a), a.id, a.target, selector_rounds=a.selector_rounds, final_rounds=a.rounds,
-            threshold=a.threshold, min_features=a.min_features, max_features=a.max_features, **{**tuned, **json.loads(a.params)},
+            rows, a.id, a.target, selector_rounds=a.selector_rounds, final_rounds=a.rounds,
+            threshold=a.threshold, min_features=a.min_features, max_features=a.max_features, **params,
         )
+        settings = {
+            "selector_rounds": a.selector_rounds, "final_rounds": a.rounds, "importance_threshold": a.threshold,
+            "min_features": a.min_features, "max_features": a.max_features, "params": params,
+            "tuned_metric": tuned.get("metric"), "tuned_score": tuned.get("best_score"),
+            "training_time_seconds": time.perf_counter() - began,
+        }
+        write_metrics(training_report(rows, a.target, final, settings=settings), f"{a.output}/report")
         final.model.save(spark, f"{a.output}/model")
         write_parquet(final.importance, f"{a.output}/importance", overwrite=True)
         write_feature_list(spark, final.selected, f"{a.output}/selected_features")
@@ -164,14 +183,25 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
         write_oof(done.oof, f"{a.output}/oof")
         oof = read(f"{a.output}/oof")
         write_metrics(evaluate(oof, a.target, "prediction"), f"{a.output}/metrics", fold_metrics(oof, a.target, "prediction"))
+        write_parquet(done.importance, f"{a.output}/fold_importance", overwrite=True)
+        write_parquet(mean_fold_importance(done.importance, a.folds, ("model", "feature")), f"{a.output}/importance", overwrite=True)
+        for (family, fold), model in done.models.items():
+            model.save(spark, f"{a.output}/models/{family}/fold_{fold}")
     elif a.step == "evaluate":
-        oof = read(a.input)
-        report = materialise(evaluate(oof, a.target, "prediction"))
-        write_metrics(report, f"{a.output}/metrics", fold_metrics(oof, a.target, "prediction"))
-        write_holdout(compare_models([report], a.rank_by).coalesce(1), f"{a.output}/comparison")
+        if a.names and len(a.names) != len(a.input):
+            raise ValueError("Give a name for each input, or none.")
+        runs = [read(path) for path in a.input]
+        if a.names:
+            runs = [run.withColumn("model", F.concat(F.lit(f"{n}/"), "model")) for n, run in zip(a.names, runs)]
+        reports = [materialise(evaluate(run, a.target, "prediction")) for run in runs]
+        folds = [fold_metrics(run, a.target, "prediction") for run in runs]
+        write_metrics(reduce(DataFrame.unionByName, reports), f"{a.output}/metrics", reduce(DataFrame.unionByName, folds))
+        write_holdout(compare_models(reports, a.rank_by).coalesce(1), f"{a.output}/comparison")
     elif a.step == "score":
         model = RiskModel.load(spark, a.model)
         write_parquet(batch_score(model, read(a.input), a.id, a.job), a.output, a.overwrite)
+        if a.publish:
+            publish_predictions(read(a.output), a.publish, a.id)
     elif a.step == "score-statements":
         write_parquet(score_statements(RiskModel.load(spark, a.model), read(a.input), spec), a.output, a.overwrite)
     elif a.step == "drift":

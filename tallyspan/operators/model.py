@@ -314,6 +314,24 @@ def train_final(
     return FinalModel(final, chosen, selected)
 
 
+def training_report(
+    df: DataFrame, target: str, final: FinalModel, name: str = "final", settings: Mapping | None = None
+) -> DataFrame:
+    """One row on a final model: rows and classes it was trained on, the weight of positives, features
+    offered and kept and the importance these carry, trees, and the settings of the run."""
+    sizes = scale_pos_weight(df, target)
+    kept = final.importance.agg(
+        F.count(F.lit(1)).alias("n_features"), F.count_if("selected").alias("n_selected"),
+        F.max(F.when(F.col("selected"), F.col("cumulative_importance"))).alias("selected_importance"),
+    )
+    values = [F.lit(json.dumps(v) if isinstance(v, (dict, list)) else v).alias(k) for k, v in (settings or {}).items() if v is not None]
+    return sizes.crossJoin(kept).select(  # one row each
+        F.lit(name).alias("model"), (F.col("positives") + F.col("negatives")).alias("n_rows"), "positives", "negatives",
+        "scale_pos_weight", "n_features", "n_selected", "selected_importance",
+        F.lit(final.model.classifier.getNumTrees).alias("n_trees"), *values,
+    )
+
+
 def holdout_report(model: RiskModel, df: DataFrame, target: str, name: str = "final") -> DataFrame:
     """All metrics on rows the model did not see; absent features count as 0.0."""
     scored = model.probability(df).withColumn("model", F.lit(name))
@@ -421,6 +439,17 @@ def best_params(trials: DataFrame) -> dict:
     return json.loads(trials.where("best").first()["params"])
 
 
+def search_result(trials: DataFrame, metric: str) -> dict:
+    """What a search found, as a document: metric, number of trials, best trial, its score, its mean metrics
+    over folds and its parameters."""
+    best = trials.where("best").first()
+    means = {f"mean_{m}": best[f"mean_{m}"] for m in FOLD_METRICS}
+    return {
+        "metric": metric, "n_trials": trials.count(), "best_trial": best["trial"], "best_score": best["score"], **means,
+        "best_params": json.loads(best["params"]),
+    }
+
+
 def explained_rows(
     df: DataFrame, oof: DataFrame, key: str, model: str, fold: int, n: int | None = None
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from tallyspan.operators.drift import drift_report
 from tallyspan.operators.features import attach_labels, build_features
 from tallyspan.operators.model import FINAL_ROUNDS, SELECTOR_ROUNDS, FinalModel, batch_score, holdout_report, train_final
 from tallyspan.operators.sampling import hash_split
-from tallyspan.sources.writers import append_drift, create_table_as, load_table, write_parquet
+from tallyspan.sources.writers import create_table_as, load_table, write_parquet, write_predictions, write_run
 from tallyspan.spec import HOT_ROWS, Spec, require_columns
 
 
@@ -69,7 +69,8 @@ def run(
     job: str = "batch",
     **params,
 ) -> BatchResult:
-    """Every step reads what the step before wrote, so a rerun can start at any of them."""
+    """Every step reads what the step before wrote, so a rerun can start at any of them.  The drift
+    report belongs to ``job``: running the same job again replaces it."""
     cleaned, dropped = preprocess(statements, spec)
     write_parquet(cleaned, f"{root}/preprocessed", overwrite=True)
     built = features_with_labels(spark.read.parquet(f"{root}/preprocessed"), spec, labels)
@@ -86,7 +87,6 @@ def run(
     )
     holdout = holdout_report(final.model, test.where(F.col(target).isNotNull()), target)
     scores = batch_score(final.model, features.drop(target), spec.id, job)
-    load_table(scores, f"{tables}_predictions")
-    drift = drift_report(train, test, [spec.id, target])
-    append_drift(drift, f"{tables}_drift", f"{root}/drift_csv")
-    return BatchResult(dropped, final, holdout, f"{tables}_predictions", spark.table(f"{tables}_drift"))
+    write_predictions(scores, f"{tables}_predictions", spec.id)
+    drift = write_run(drift_report(train, test, [spec.id, target]), f"{root}/drift", job)
+    return BatchResult(dropped, final, holdout, f"{tables}_predictions", drift)

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from tallyspan.operators.refresh import latest_per_key, upsert
 from tallyspan.session import materialise
+from tallyspan.sources.store import Store
 
-# The schema of the prediction table.
-PREDICTION_SCHEMA = (
-    "customer_ID string, default_probability double, risk_category string, "
-    "scoring_job string, scored_at timestamp"
+# Name and type of the prediction table's key, and its other columns.
+PREDICTION_KEY = ("customer_ID", "string")
+PREDICTION_COLUMNS = (
+    ("default_probability", "double"), ("risk_category", "string"), ("scoring_job", "string"), ("scored_at", "timestamp"),
 )
 
 
@@ -124,11 +125,20 @@ def write_holdout(predictions: DataFrame, path: str) -> None:
     predictions.write.mode("overwrite").csv(path, header=True)
 
 
-def write_predictions(scored: DataFrame, table: str) -> LoadResult:
+def prediction_rows(scored: DataFrame, key: str = PREDICTION_KEY[0]) -> DataFrame:
+    """Scores in the fixed schema of a prediction table, whatever the entity is called."""
+    columns = [(key, PREDICTION_KEY[1]), *PREDICTION_COLUMNS]
+    return scored.select(*[F.col(n).cast(t).alias(n) for n, t in columns])
+
+
+def write_predictions(scored: DataFrame, table: str, key: str = PREDICTION_KEY[0]) -> LoadResult:
     """Replace the prediction table; its columns and types are fixed."""
-    columns = [part.strip().split(" ") for part in PREDICTION_SCHEMA.split(",")]
-    typed = scored.select(*[F.col(n).cast(t).alias(n) for n, t in columns])
-    return load_table(typed, table, "truncate")
+    return load_table(prediction_rows(scored, key), table, "truncate")
+
+
+def publish_predictions(scored: DataFrame, root: str, key: str) -> int:
+    """Publish scores as the next version of a store: readers see the old table or the new one."""
+    return Store(scored.sparkSession, root, key).replace(prediction_rows(scored, key))
 
 
 def append_drift(report: DataFrame, table: str, csv_path: str) -> None:
@@ -167,6 +177,24 @@ def publish_serving(
     return load_table(serving_snapshot(features, key, names, order), table, "truncate")
 
 
+def publish_features(
+    features: DataFrame, root: str, key: str, names: list[str], order: tuple[str, ...] = ()
+) -> int:
+    """The serving snapshot as the next version of a store, without a moment in which it is missing."""
+    if not names:
+        raise ValueError("The feature list must not be empty.")
+    return Store(features.sparkSession, root, key).replace(serving_snapshot(features, key, names, order))
+
+
 def write_feature_list(spark: SparkSession, names: list[str], path: str) -> None:
     """The names as one JSON array in a one-file text folder."""
-    spark.createDataFrame([(json.dumps(names),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    write_document(spark, names, path)
+
+
+def write_document(spark: SparkSession, body: dict | list, path: str) -> None:
+    """A small JSON document in a one-file text folder."""
+    spark.createDataFrame([(json.dumps(body),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_document(spark: SparkSession, path: str) -> dict | list:
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])

@@ -13,7 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StringType, StructType
 
 from tallyspan.operators.features import align_features, build_features
-from tallyspan.operators.refresh import latest_per_key
+from tallyspan.sources.store import Store
 from tallyspan.spec import Spec
 from tallyspan.streaming.ingest import CYCLE, accepted, decode
 
@@ -105,25 +105,29 @@ def window_features(
     )
 
 
+def vector_store(spark: SparkSession, root: str, key: str) -> Store:
+    """The newest vector of each entity: a bucketed base and the last few batches."""
+    return Store(spark, f"{root}/vectors", key)
+
+
 def write_vectors(windows: DataFrame, batch_id: int, root: str, schema, spec: Spec, wanted: Sequence[str]) -> None:
-    """Vectors of the touched entities to a folder named after the batch, replacing it."""
+    """Vectors of the touched entities as one batch of the store; a replayed batch replaces itself."""
     kept = windows.persist()
     try:
-        window_features(kept, schema, spec, wanted).write.mode("overwrite").parquet(
-            f"{root}/features/batch_id={batch_id}"
-        )
+        vectors = window_features(kept, schema, spec, wanted)
+        vector_store(windows.sparkSession, root, spec.id).append(vectors, batch_id)
     finally:
         kept.unpersist()
 
 
 def read_vectors(spark: SparkSession, root: str, key: str) -> DataFrame:
-    """The newest vector of each entity."""
-    return latest_per_key(spark.read.parquet(f"{root}/features"), key, ["batch_id"]).drop("batch_id")
+    """The newest vector of each entity.  What is read does not grow with the number of batches."""
+    return vector_store(spark, root, key).read()
 
 
 def compact_vectors(spark: SparkSession, root: str, key: str, target: str) -> None:
-    """Only the newest vectors, as batch -1 of a fresh root, for when many batches piled up."""
-    read_vectors(spark, root, key).write.mode("overwrite").parquet(f"{target}/features/batch_id=-1")
+    """The newest vectors as the first version of a fresh root, to move or to copy a store."""
+    vector_store(spark, target, key).replace(read_vectors(spark, root, key))
 
 
 def start_features(

@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 
 from tallyspan.jobs import MESSAGE, run
-from tallyspan.sources.writers import read_latest, write_feature_list
+from tallyspan.operators.model import RiskModel
+from tallyspan.sources.store import Store
+from tallyspan.sources.writers import read_document, read_latest, write_feature_list
 from tallyspan.streaming.rolling import read_vectors
 
 
@@ -41,8 +43,15 @@ def test_steps(spark, tmp_path):
     assert spark.read.csv(at("out/holdout_predictions"), header=True).columns == ["id", "target", "prediction"]
     step("train", "--input", at("train"), "--output", at("small"), "--selector-rounds", "1", "--max-rows", "20",
          "--balanced-sample", "--min-features", "1", "--max-features", "4", *params)
-    step("score", "--model", at("out/model"), "--input", at("features"), "--output", at("scores"))
+    for _ in range(2):
+        step("score", "--model", at("out/model"), "--input", at("features"), "--output", at("scores"), "--publish", at("served"))
     assert spark.read.parquet(at("scores")).count() == 80
+    served = Store(spark, at("served"), "id")
+    assert served.read().dtypes[:2] == [("id", "string"), ("default_probability", "double")] and served.read().count() == 80
+    report = spark.read.json(at("out/report/json")).first()
+    assert report["n_rows"] == report["positives"] + report["negatives"] == spark.read.parquet(at("train")).count()
+    assert 1 <= report["n_selected"] <= 4 < report["n_features"] and report["n_trees"] == 2 == report["final_rounds"]
+    assert json.loads(report["params"]) == {"maxDepth": 2} and report["training_time_seconds"] > 0
     step("score-statements", "--model", at("out/model"), "--input", at("clean"), "--output", at("scores2"))
     a, b = ({r["id"]: r["default_probability"] for r in spark.read.parquet(at(p)).collect()} for p in ("scores", "scores2"))
     assert a == pytest.approx(b)
@@ -54,12 +63,31 @@ def test_steps(spark, tmp_path):
     assert spark.read.csv(at("drift/report/csv"), header=True).count() == drift.count()
     assert spark.read.parquet(at("drift/alerts/history")).where("feature_name = 'x_mean' AND NOT alert").count() == 1
     step("tune", "--input", at("train"), "--output", at("tuned"), "--trials", "1", "--folds", "2", "--rounds", "2")
+    result = read_document(spark, at("tuned/result"))
+    assert (result["metric"], result["n_trials"], result["best_trial"]) == ("roc_auc", 1, 0)
+    assert result["best_score"] == result["mean_roc_auc"] and result["best_params"]["maxDepth"] >= 3
     step("train", "--input", at("train"), "--output", at("again"), "--selector-rounds", "1", "--rounds", "2",
          "--tuned", at("tuned"), "--min-features", "1", "--max-features", "4")
+    again = spark.read.json(at("again/report/json")).first()
+    assert again["tuned_score"] == result["best_score"] and json.loads(again["params"]) == result["best_params"]
     step("cross-validate", "--input", at("train"), "--output", at("cv"), "--folds", "2", "--rounds", "2")
     assert spark.read.json(at("cv/metrics/json")).selectExpr("size(fold_metrics) AS n").first()["n"] == 2
+    folds = spark.read.parquet(at("cv/fold_importance"))
+    n_features = len(features.columns) - 2
+    assert folds.count() == 4 * n_features and folds.select("model", "fold").distinct().count() == 4
+    mean = {r["feature"]: r for r in spark.read.parquet(at("cv/importance")).where("model = 'boosted_trees'").collect()}
+    by_fold = [r["importance"] for r in folds.where("model = 'boosted_trees' AND feature = 'x_mean'").collect()]
+    assert len(mean) == n_features and mean["x_mean"]["importance_mean"] == pytest.approx(np.mean(by_fold))
+    assert mean["x_mean"]["importance_std"] == pytest.approx(np.std(by_fold, ddof=1))
+    model = RiskModel.load(spark, at("cv/models/random_forest/fold_2"))
+    assert model.probability(features).count() == 80
     step("evaluate", "--input", at("cv/oof"), "--output", at("report"))
     assert spark.read.csv(at("report/comparison"), header=True).count() == 2
+    step("evaluate", "--input", at("cv/oof"), at("cv/oof"), "--names", "may,june", "--output", at("report2"))
+    names = {r["model"] for r in spark.read.csv(at("report2/comparison"), header=True).collect()}
+    assert names == {f"{n}/{m}" for n in ("may", "june") for m in ("boosted_trees", "random_forest")}
+    with pytest.raises(ValueError, match="name for each"):
+        step("evaluate", "--input", at("cv/oof"), "--names", "may,june", "--output", at("report3"))
     spark.createDataFrame([("k1", "2024-01"), ("k2", "2023-12")], "id string, statement_cycle string").write.parquet(at("changes"))
     step("refresh", "--history", at("clean"), "--changes", at("changes"), "--features", at("out/selected_features"),
          "--serving", at("serving"), "--cycle", "2024-01")

@@ -100,6 +100,24 @@ def test_predictions_and_drift(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "oof")).count() == 1
 
 
+def test_published_tables(spark, features, tmp_path):
+    from tallyspan.sources.store import Store
+
+    scored = spark.createDataFrame([(7, 0.2, "low", "j"), (8, 0.9, "high", "j")], "user bigint, default_probability float, risk_category string, scoring_job string")
+    scored = scored.withColumn("scored_at", F.current_timestamp())
+    store = Store(spark, str(tmp_path / "p"), "user")
+    assert writers.publish_predictions(scored, store.root, "user") == 1
+    before = store.read()
+    assert writers.publish_predictions(scored.where("user = 7"), store.root, "user") == 2
+    assert before.count() == 2 and store.read().count() == 1
+    assert store.read().dtypes == [("user", "string"), *writers.PREDICTION_COLUMNS]
+    assert writers.write_predictions(scored, "t_user_predictions", "user").columns == 5
+    assert writers.publish_features(features, str(tmp_path / "f"), "id", ["q"]) == 1
+    assert Store(spark, str(tmp_path / "f"), "id").read().columns == ["id", "q"]
+    with pytest.raises(ValueError):
+        writers.publish_features(features, str(tmp_path / "f"), "id", [])
+
+
 def test_serving(spark, features):
     again = features.withColumn("at", F.lit(1)).unionByName(
         spark.createDataFrame([("a", 8.0, 8.0, 2), (None, 1.0, 1.0, 1)], "id string, p double, q double, at int")
