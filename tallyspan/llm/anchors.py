@@ -67,12 +67,13 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
-def segments(codes: np.ndarray, text_of: np.ndarray, ends: np.ndarray, width: int, gram: int) -> dict[str, np.ndarray]:
+def segments(codes: np.ndarray, text_of: np.ndarray, ends: np.ndarray, width: int, gram: int, whole: bool = True) -> dict[str, np.ndarray]:
     """Segments of concatenated texts.  ``text_of``: the text of each unit; ``ends``: where
-    each text ends.  Gives text, first (window start in the concatenation), n (windows),
-    place (the anchor's, from first), anchor and content (hashes)."""
-    out = {k: [] for k in ("text", "first", "n", "place", "anchor", "content")}
-    total = len(codes)
+    each text ends.  Gives the anchor's hash and, if ``whole``, text, first (window start in the
+    concatenation), n (windows), place (the anchor's, from first), content (hash of the segment)
+    and cores (two hashes of 32 bits, see ``repeats``)."""
+    out = {k: [] for k in (("text", "first", "n", "place", "anchor", "content", "cores") if whole else ("anchor",))}
+    total, split = len(codes), (width - gram) // 2
     for begin in range(0, total - width + 1, CHUNK):
         part = codes[begin : begin + CHUNK + width - 1]
         sums, down = rolling(part, BASES[0])
@@ -87,11 +88,19 @@ def segments(codes: np.ndarray, text_of: np.ndarray, ends: np.ndarray, width: in
         new = np.ones(len(start), bool)
         new[1:] = (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)
         at = np.nonzero(new)[0]
-        n = np.diff(at, append=len(start))
         first, anchor = start[at], place[at]
+        if not whole:
+            out["anchor"].append(grams[anchor])
+            continue
+        n = np.diff(at, append=len(start))
+        # a core that no window of the segment holds may reach beyond the text; nothing reads its hash
+        left, right = np.maximum(anchor - split, 0), np.minimum(anchor + width - split + 1, len(part))
+        upper = mix((sums[anchor + gram] - sums[left]) * down[left])
+        lower = mix((sums[right] - sums[anchor]) * down[anchor])
+        cores = ((upper >> np.uint64(32)) << np.uint64(32)) | (lower >> np.uint64(32))
         sums2, down2 = rolling(part ^ (part >> np.uint64(29)), BASES[1])
         content = mix((sums2[first + n - 1 + width] - sums2[first]) * down2[first])
         content = mix(content + ((anchor - first) * 65536 + n).astype(np.uint64))
-        for k, v in zip(out, (text_of[begin + first], begin + first, n, anchor - first, grams[anchor], content)):
+        for k, v in zip(out, (text_of[begin + first], begin + first, n, anchor - first, grams[anchor], content, cores)):
             out[k].append(v)
     return {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in out.items()}

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
 from tallyspan.llm.common import query, table
-from tallyspan.llm.repeats import Unit, covered, keyed, may_repeat, repeated_spans, runs_of, with_spans
+from tallyspan.llm.repeats import Unit, covered, keyed, repeated_spans, runs_of, with_spans
 
 WORDS = Unit(words=True, width=35, gram=6)
 
@@ -101,8 +101,7 @@ class SuffixAutomaton:
 
 
 def repeated_windows(group: pa.Table, unit: Unit) -> pa.Table:
-    """Of the segments of one shard, the windows that occur more than once."""
-    group = group.filter(pa.array(may_repeat(group, unit)))
+    """Of the pieces of one shard, the windows that occur more than once."""
     numbers: dict[bytes, int] = {}
     sequences = [[numbers.setdefault(w, len(numbers)) for w in body.split()] for body in group["body"].to_pylist()]
     automaton = SuffixAutomaton()

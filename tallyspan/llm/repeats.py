@@ -4,25 +4,29 @@
    the same anchor, with a hash of the anchor and one of the whole segment.
 2. Segments whose anchor occurs once hold no repeated window and are dropped.
 3. Equal segments repeat window for window.  They are settled by one aggregation.
-4. Where different segments share an anchor, their bytes are compared: shards of such
-   segments, dealt by anchor, go to the operator's own index.  The segments of an anchor that
-   has very many are spread over shards; what their shards find different is then
-   compared across shards by window hashes, one row for each window and shard.
-5. The repeated spans of each text are joined back to it.
-
-Texts travel compressed, once to cut out the bytes of step 4 and once for step 5.  Hashes:
-anchor and segment have 64 bits each and must both agree; windows of crowded anchors have 128.
+4. A segment is cut in two pieces: the windows with at least half of their room on the left of
+   the anchor, and the others.  All windows of a piece hold its core, the anchor with half a window's
+   room on that side, and equal windows lie in pieces with equal cores.  Pieces whose core
+   occurs once among different segments hold no other repeat and are dropped before any byte is fetched.
+5. The bytes of the pieces left are compared: shards of them, dealt by core, go to the operator's own index.
+   Pieces that share a core with very many are cut again by the same rule, which makes the core longer,
+   until few share one or the core is the window itself.
+6. The repeated spans of each text are joined back to it.
+
+Texts travel compressed, once to cut out the bytes of step 5 and once for step 6.  Hashes:
+anchor and segment have 64 bits each and must both agree; equal cores only bring pieces together.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -30,8 +34,9 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from tallyspan.llm.anchors import BASES, byte_codes, mix, rolling, segments
 from tallyspan.llm.common import forget, kept, small_batches
 
-SHARD_SEGMENTS = 4096
-CROWDED = 1000
+SHARD_PIECES = 4096
+# Pieces of one core that a task compares; above, they are cut again.
+CORE_PIECES = 8192
 # Bytes whose hashes are made at once.
 BLOCK = 1 << 20
 
@@ -114,9 +119,9 @@ def keyed(docs: DataFrame, name: str = "_key") -> DataFrame:
     return kept(ordered.withColumn(name, F.monotonically_increasing_id()))
 
 
-def occurrences(texts: DataFrame, unit: Unit) -> DataFrame:
-    """All segments of (key, text).  ``shape`` holds the number of windows in its low 16 bits and
-    the anchor's place in the segment above them."""
+def occurrences(texts: DataFrame, unit: Unit, whole: bool = True) -> DataFrame:
+    """All segments of (key, text), or only their anchors.  ``shape`` holds the number of windows in its
+    low 16 bits and the anchor's place in the segment above them; ``cores`` the left core's hash above the right one's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,20 +129,24 @@ def occurrences(texts: DataFrame, unit: Unit) -> DataFrame:
             for lot in blocks(rows):
                 codes, sizes = coded([t for _, t in lot], unit)
                 ends = np.cumsum(sizes)
-                found = segments(codes, np.repeat(np.arange(len(lot)), sizes), ends, unit.width, unit.gram)
+                found = segments(codes, np.repeat(np.arange(len(lot)), sizes), ends, unit.width, unit.gram, whole)
+                long = lambda name: pa.array(found[name].astype(np.uint64).view(np.int64))  # noqa: B023, E731
+                if not whole:
+                    yield pa.RecordBatch.from_arrays([long("anchor")], ["anchor"])
+                    continue
                 text = found["text"].astype(np.int64)
                 first = found["first"].astype(np.int64) - (ends - sizes)[text] if len(text) else found["first"]
                 keys = np.array([k for k, _ in lot], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys[text], pa.int64()), pa.array(first, pa.int64()), pa.array((found["place"] * 65536 + found["n"]).astype(np.int32)),
-                        pa.array(found["anchor"].astype(np.uint64).view(np.int64)),
-                        pa.array(found["content"].astype(np.uint64).view(np.int64)),
+                        long("anchor"), long("content"), long("cores"),
                     ],
-                    ["key", "first", "shape", "anchor", "content"],
+                    ["key", "first", "shape", "anchor", "content", "cores"],
                 )
 
-    return texts.mapInArrow(run, "key bigint, first bigint, shape int, anchor bigint, content bigint")
+    columns = "key bigint, first bigint, shape int, anchor bigint, content bigint, cores bigint"
+    return texts.mapInArrow(run, columns if whole else "anchor bigint")
 
 
 def packed(docs: DataFrame, text: str) -> DataFrame:
@@ -163,20 +172,11 @@ def unpack(value: bytes) -> bytes:
 
 
 def cut_out(body: bytes, places: list[dict], unit: Unit) -> list[bytes]:
-    """The bytes of segments; words are joined by one space."""
+    """The bytes of pieces; words are joined by one space."""
     if not unit.words:
-        return [body[p["first"] : p["first"] + (p["shape"] & 65535) - 1 + unit.width] for p in places]
+        return [body[p["first"] : p["first"] + p["n"] - 1 + unit.width] for p in places]
     words = body.split()
-    return [b" ".join(words[p["first"] : p["first"] + (p["shape"] & 65535) - 1 + unit.width]) for p in places]
-
-
-def window_hashes(body: bytes, n: int, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
-    codes, _ = coded([body], unit)
-    out = []
-    for base, part in zip(BASES, (codes, codes ^ (codes >> np.uint64(29)))):
-        sums, down = rolling(part, base)
-        out.append(mix((sums[unit.width : unit.width + n] - sums[:n]) * down[:n]).view(np.int64))
-    return out[0], out[1]
+    return [b" ".join(words[p["first"] : p["first"] + p["n"] - 1 + unit.width]) for p in places]
 
 
 def repeated_spans(
@@ -185,16 +185,17 @@ def repeated_spans(
     """(key, first, n): runs of windows that repeat, from docs (key, text).
 
     ``later_only``: a window repeats if an equal one starts earlier; else if one starts anywhere else.
-    ``shard_repeats`` finds them among the segments of one shard.
+    ``shard_repeats`` finds them among the pieces (key, first, n, body) of one shard.
     """
     small_batches(docs.sparkSession)
-    all_segments = occurrences(docs, unit)
-    shared = kept(all_segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor"))
+    anchors = occurrences(docs, unit, whole=False)
+    shared = kept(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor"))
     found = kept(occurrences(docs, unit).join(shared.hint("shuffle_hash"), "anchor"))
     forget(shared)
     groups = kept(
         found.groupBy("anchor", "content").agg(
-            F.min(F.struct("key", "first")).alias("head"), F.max("shape").alias("shape"), F.count(F.lit(1)).alias("c")
+            F.min(F.struct("key", "first")).alias("head"), F.max("shape").alias("shape"), F.max("cores").alias("cores"),
+            F.count(F.lit(1)).alias("c"),
         )
     )
     twice = groups.where("c > 1").select("anchor", "content", "head")
@@ -204,63 +205,98 @@ def repeated_spans(
     windows_in = F.col("shape").bitwiseAND(65535).cast("long").alias("n")
     settled = same.select("key", "first", windows_in)
 
-    classes = kept(groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("g")).where("g > 1"))
-    open_ = kept(
-        groups.join(classes, "anchor").select(
-            "anchor", F.col("head.key").alias("key"), F.col("head.first").alias("first"), "shape", F.col("g").alias("among")
-        )
-    )
-    forget(classes)
-    pieces = segment_bytes(docs, open_, unit)
-    shards = max(1, math.ceil(open_.count() / SHARD_SEGMENTS))
-    # the segments of a crowded anchor are spread, some hundreds to a place
-    spread = F.pmod(F.xxhash64("key", "first"), F.ceil(F.col("among") / F.lit(CROWDED)))
-    shard = F.pmod(F.xxhash64("anchor", spread), F.lit(shards)).alias("shard")
-
-    def compare(group: pa.Table) -> pa.Table:
-        """Windows repeated within the shard; of crowded anchors also one row for each
-        different window, as an equal one may lie in another shard."""
-        spans = shard_repeats(group, unit)
-        crowd = group.filter(pc.greater(group["among"], CROWDED))
-        nulls = pa.nulls(spans.num_rows, pa.int64())
-        return pa.concat_tables([spans.append_column("w1", nulls).append_column("w2", nulls), different_windows(crowd, unit)])
-
+    pieces = side_pieces(groups, unit)
+    few, crowd = by_core(pieces)
+    lots = [segment_bytes(docs, few, unit)]
+    spans = [settled]
+    crowd = None if crowd is None else kept(segment_bytes(docs, crowd, unit))
+    while crowd is not None:
+        cut = kept(cut_again(crowd, unit))
+        forget(crowd)
+        # the core of a single window is the window
+        single = cut.where("high - low = 1")
+        heads = single.groupBy("body").agg(F.min(F.struct("key", "first")).alias("head"), F.count(F.lit(1)).alias("c"))
+        equal = single.join(heads.where("c > 1"), "body")
+        if later_only:
+            equal = equal.where(F.struct("key", "first") != F.col("head"))
+        spans.append(equal.select("key", "first", "n"))
+        few, crowd = by_core(cut.where("high - low > 1"))
+        lots.append(few)
+        crowd = None if crowd is None else kept(crowd)
+    to_compare = reduce(DataFrame.union, (lot.select("core", "key", "first", "n", "body") for lot in lots))
+    to_compare = kept(to_compare)
+    shards = max(1, math.ceil(to_compare.count() / SHARD_PIECES))
     compared = kept(
-        pieces.select("anchor", "key", "first", "shape", "among", "body", shard)
-        .groupBy("shard").applyInArrow(compare, "key bigint, first bigint, n bigint, w1 bigint, w2 bigint")
+        to_compare.withColumn("shard", F.pmod(F.xxhash64("core"), F.lit(shards)))
+        .groupBy("shard").applyInArrow(lambda group: shard_repeats(group, unit), "key bigint, first bigint, n bigint")
     )
-    forget(open_)
-    windows = compared.where("w1 IS NOT NULL")
-    heads = windows.groupBy("w1", "w2").agg(F.min(F.struct("key", "first")).alias("head"), F.count(F.lit(1)).alias("c"))
-    heads = kept(heads.where("c > 1").drop("c"))
-    crowd = windows.join(heads, ["w1", "w2"])
-    if later_only:
-        crowd = crowd.where(F.struct("key", "first") != F.col("head"))
-    spans = ("key", "first", "n")
-    return settled.union(compared.where("w1 IS NULL").select(*spans)).union(crowd.select(*spans))
-
-
-def different_windows(group: pa.Table, unit: Unit) -> pa.Table:
-    """One row for each different window of some segments, for its earliest place."""
-    out = [np.zeros(0, np.int64)] * 4
-    if group.num_rows:
-        group = group.sort_by([("key", "ascending"), ("first", "ascending")])
-        found = []
-        for key, first, shape, body in zip(*(group[c].to_pylist() for c in ("key", "first", "shape", "body"))):
-            n = shape & 65535
-            w1, w2 = window_hashes(body, n, unit)
-            found.append((np.full(n, key), np.arange(first, first + n), w1, w2))
-        rows = [np.concatenate(c) for c in zip(*found)]
-        _, at = np.unique(np.stack(rows[2:], axis=1), axis=0, return_index=True)
-        out = [c[at] for c in rows]
-    key, first, w1, w2 = out
-    columns = {"key": key, "first": first, "n": np.ones(len(key), np.int64), "w1": w1, "w2": w2}
-    return pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()})
+    forget(to_compare)
+    return reduce(DataFrame.union, [*spans, compared])
+
+
+def side_pieces(groups: DataFrame, unit: Unit) -> DataFrame:
+    """Two pieces of each different segment: core, key, first, n, room (the units left of the anchor in the
+    first window) and the range low <= room < high that the windows of such pieces have."""
+    split, most = (unit.width - unit.gram) // 2, unit.width - unit.gram + 1
+    n, room = F.col("shape").bitwiseAND(65535), F.shiftright("shape", 16)
+    on_left = F.least(n, F.greatest(F.lit(0), room - split + 1))
+    rows = groups.select(
+        F.col("head.key").alias("key"), "anchor", "cores", F.col("head.first").alias("start"), n.alias("all"), room.alias("place"), on_left.alias("skip")
+    )
+    core = lambda side, half: F.xxhash64("anchor", F.lit(side), half).alias("core")
+    left = F.struct(
+        core(0, F.shiftright("cores", 32)), F.col("start").alias("first"), F.col("skip").cast("long").alias("n"),
+        F.col("place").alias("room"), F.lit(split).alias("low"), F.lit(most).alias("high"),
+    )
+    right = F.struct(
+        core(1, F.col("cores").bitwiseAND(0xFFFFFFFF)), (F.col("start") + F.col("skip")).alias("first"), (F.col("all") - F.col("skip")).cast("long").alias("n"),
+        (F.col("place") - F.col("skip")).alias("room"), F.lit(0).alias("low"), F.lit(split).alias("high"),
+    )
+    return rows.select("key", F.inline(F.array(left, right))).where("n > 0")
+
+
+def by_core(pieces: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The pieces whose core some others have, and those whose core very many have, if any."""
+    cores = kept(pieces.groupBy("core").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    crowded = cores.where(F.col("c") > CORE_PIECES).select("core")
+    few = pieces.join(cores.where(F.col("c") <= CORE_PIECES).select("core"), "core")
+    return few, None if crowded.isEmpty() else pieces.join(crowded, "core")
+
+
+def cut_again(pieces: DataFrame, unit: Unit) -> DataFrame:
+    """Each piece in two: the range of rooms is halved, the core of each half is longer."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for core, key, first, n, room, low, high, body in zip(*(c.to_pylist() for c in batch.columns)):
+                units, middle = body.split() if unit.words else body, (low + high) // 2
+                skip = min(n, max(0, room - middle + 1))
+                for lo, hi, at, count in ((middle, high, 0, skip), (low, middle, skip, n - skip)):
+                    if count:
+                        anchor = room
+                        inner = units[anchor - lo : anchor + unit.width - hi + 1]
+                        cut = units[at : at + count - 1 + unit.width]
+                        inner, cut = (b" ".join(inner), b" ".join(cut)) if unit.words else (inner, cut)
+                        out.append((core_of(core, lo, inner), key, first + at, count, room - at, lo, hi, cut))
+            columns = zip(*out) if out else [[]] * len(batch.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, batch.schema)], batch.schema.names)
+
+    return pieces.select(*PIECE).mapInArrow(run, PIECE_SCHEMA)
+
+
+PIECE = ("core", "key", "first", "n", "room", "low", "high", "body")
+PIECE_SCHEMA = "core bigint, key bigint, first bigint, n bigint, room int, low int, high int, body binary"
+
+
+def core_of(outer: int, low: int, inner: bytes) -> int:
+    digest = hashlib.blake2b(inner, digest_size=8, key=outer.to_bytes(8, "big", signed=True) + bytes([low])).digest()
+    return int.from_bytes(digest, "big", signed=True)
 
 
 def segment_bytes(docs: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
-    """Adds the bytes of segments.  A text's list is bounded by the text's own length."""
-    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "shape", "among")).alias("places"))
+    """Adds the bytes of pieces.  A text's list is bounded by the text's own length."""
+    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("core", "first", "n", "room", "low", "high")).alias("places"))
     joined = packed(docs, "text").join(lists, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,41 +304,13 @@ def segment_bytes(docs: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
             rows = zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), batch.column("places").to_pylist())
             out = []
             for key, text, places in rows:
-                out += [(p["anchor"], key, p["first"], p["shape"], p["among"], b) for p, b in zip(places, cut_out(unpack(text), places, unit))]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-            columns = zip(*out) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "key", "first", "shape", "among", "body"])
-
-    return joined.select("key", "text", "places").mapInArrow(
-        run, "anchor bigint, key bigint, first bigint, shape int, among bigint, body binary"
-    )
+                bodies = cut_out(unpack(text), places, unit)
+                out += [(p["core"], key, p["first"], p["n"], p["room"], p["low"], p["high"], b) for p, b in zip(places, bodies)]
+            kinds = (*[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary())
+            columns = zip(*out) if out else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], list(PIECE))
 
-
-def may_repeat(group: pa.Table, unit: Unit) -> np.ndarray:
-    """Which segments of a shard can repeat at all.
-
-    A window holds its anchor and, on one side of it, at least half of the rest of its
-    width.  A segment that shares neither half with another of its anchor has no repeat.
-    """
-    half = (unit.width - unit.gram) // 2
-    seen: dict[tuple, int] = {}
-    own = []
-    for anchor, shape, body in zip(group["anchor"].to_pylist(), group["shape"].to_pylist(), group["body"].to_pylist()):
-        units = body.split() if unit.words else body
-        at = shape >> 16
-        keys = []
-        if at >= half:
-            keys.append((anchor, 0, _frozen(units[at - half : at + unit.gram])))
-        if at + unit.gram + half <= len(units):
-            keys.append((anchor, 1, _frozen(units[at : at + unit.gram + half])))
-        own.append(keys)
-        for key in keys:
-            seen[key] = seen.get(key, 0) + 1
-    return np.array([any(seen[k] > 1 for k in keys) for keys in own], bool)
-
-
-def _frozen(units) -> bytes | tuple:
-    return units if isinstance(units, bytes) else tuple(units)
+    return joined.select("key", "text", "places").mapInArrow(run, PIECE_SCHEMA)
 
 
 def runs_of(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,6 @@
 """Operator 3, suffix-array dedup: bytes that lie in a string of 100 bytes seen earlier go.
 
-``repeats`` narrows the corpus to segments that share an anchor without being equal; shards
+``repeats`` narrows the corpus to pieces of segments that share a core without being equal; shards
 of these are ordered by induced sorting (``suffix_array``), and permuted common prefixes of
 at least the window's width mark windows that repeat.  Of equal windows all but the
 earliest are marked; earliest is the smaller doc_id, then the earlier start.
@@ -21,18 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
 from tallyspan.llm.common import query, table
-from tallyspan.llm.repeats import Unit, covered, keyed, may_repeat, repeated_spans, runs_of, with_spans
+from tallyspan.llm.repeats import Unit, covered, keyed, repeated_spans, runs_of, with_spans
 from tallyspan.llm.suffix_array import common_prefixes, suffix_array
 
 BYTES = Unit(words=False, width=100, gram=24)
 
 
 def later_windows(group: pa.Table, unit: Unit) -> pa.Table:
-    """Of the segments of one shard, the windows that equal an earlier one."""
+    """Of the pieces of one shard, the windows that equal an earlier one."""
     empty = pa.table({k: pa.array([], pa.int64()) for k in ("key", "first", "n")})
-    group = group.filter(pa.array(may_repeat(group, unit)))
-    if not group.num_rows:
-        return empty
     group = group.sort_by([("key", "ascending"), ("first", "ascending")])
     bodies = group["body"].to_pylist()
     size = np.array([len(b) for b in bodies])

@@ -91,13 +91,14 @@ def test_automaton_dedup(spark, texts):
         assert (got[doc].n_words, got[doc].n_removed, got[doc].kept_sha256) == (len(words), gone.sum(), brute.sha(left))
 
 
+@pytest.mark.parametrize("crowded", [1, 4, 8192])
 @pytest.mark.parametrize("operator", [suffix_dedup, automaton_dedup])
-def test_crowded_anchors_are_spread(spark, operator, monkeypatch):
-    """Forces the path for anchors with very many different segments."""
+def test_crowded_cores_are_cut_again(spark, operator, crowded, monkeypatch):
+    """Forces the path for cores that very many different pieces share."""
     from tallyspan.llm import repeats
 
-    monkeypatch.setattr(repeats, "CROWDED", 3)
-    monkeypatch.setattr(repeats, "SHARD_SEGMENTS", 2)
+    monkeypatch.setattr(repeats, "CORE_PIECES", crowded)
+    monkeypatch.setattr(repeats, "SHARD_PIECES", 2)
     pick = random.Random(3)
     passage = " ".join(f"common{k}" for k in range(60))
     tails = [" ".join(pick.choice("abcde") for _ in range(8)) for _ in range(12)]
