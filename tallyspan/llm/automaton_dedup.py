@@ -1,8 +1,8 @@
 """Operator 4, substring dedup: words in a run of 35 that stands anywhere else go.
 
-``repeats`` narrows the corpus to segments that share an anchor without being equal; these
+``repeats`` narrows the corpus to pieces of segments that share a core without being equal; these
 make up the reference shards.  Each shard is indexed by a suffix automaton over its words,
-and the segments are streamed through it for matching statistics: the longest match that
+and the pieces are streamed through it for matching statistics: the longest match that
 ends at each word, and how often that match's last 35 words occur in the shard.
 
 A shard goes to one task instead of all, as the shards together grow with the corpus: what
