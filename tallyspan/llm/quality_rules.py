@@ -3,8 +3,11 @@
 Every document is measured with built-in expressions.  The measures of all documents go
 into log-linear histograms, one per (language, source) and measure: a quantile sketch whose
 parts add up, so it combines before the shuffle and merges to coarser levels by adding
-counts.  Quartiles read from a sketch give a fence for its own group, and a join brings the
-fences back to the documents.
+counts.  Quartiles read from a sketch give a fence for its own group: three times their distance
+beyond them, and a slack of a few counts in a document of the group's lower quartile of size, which
+is read from sketches of the sizes.  Fences of a group, its language and all documents are averaged,
+a group weighing as much as it has documents against ``PRIOR``, so that small groups lean on
+their language without a switch.  A join brings the fences back to the documents.
 
 Defined results: NULL text counts as empty; NULL language or source is a group of its own;
 a document without words fails the base rule; repeated rows are judged alike; columns beyond
@@ -22,13 +25,17 @@ from tallyspan.operators.skew import join_small
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-# A sketch of fewer documents is replaced by the one of its language, then of all.
-MIN_GROUP = 200
+# As many documents as a language's fence counts beside a source's own, and that of all beside a language's.
+PRIOR = 200
 FENCE = 3
-# Measures in integer units (see ``measured``), and what is added to each fence so that a
-# group whose documents are all alike does not reject the first that differs a little.
-SLACK = {"symbols_rate": 100, "dup_line_rate": 500, "repeat_rate": 300, "word_length": 100}
+# Measures in integer units (see ``measured``), the size each is a share of, and how many counts in a
+# document of the lower quartile of that size are added to its fence, so that a group whose documents
+# are all alike does not reject the first that differs a little: symbols, repeated lines, words in
+# repeated windows, words of twice the usual length.
+SLACK = {"symbols_rate": ("n_words", 15), "dup_line_rate": ("n_lines", 2), "repeat_rate": ("n_words", 48), "word_length": ("n_words", 30)}
+SIZES = ("n_words", "n_lines")
 TWO_SIDED = ("word_length",)
+LIMITS = [f"{m}_hi" for m in SLACK] + [f"{m}_lo" for m in TWO_SIDED]
 
 
 def text_features(df: DataFrame) -> DataFrame:
@@ -118,7 +125,7 @@ def fences(features: DataFrame) -> DataFrame:
         "lang", "source",
         F.inline(F.array(*[
             F.struct(F.lit(name).alias("measure"), bucket_of(value.cast("long")).alias("bucket"))
-            for name, value in measured().items()
+            for name, value in {**measured(), **{size: F.col(size) for size in SIZES}}.items()
         ])),
     )
     counts = long.groupBy("lang", "source", "measure", "bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -133,26 +140,33 @@ def fences(features: DataFrame) -> DataFrame:
     quartiles = running.groupBy("level", "l", "s", "measure").agg(
         quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("total").alias("total")
     )
-    slack = F.create_map(*[F.lit(x) for pair in SLACK.items() for x in pair])[F.col("measure")]
-    spread = (F.col("q3") - F.col("q1")) * FENCE + slack
-    fence = quartiles.select(
-        "level", "l", "s", "measure", "total", (F.col("q3") + spread).alias("hi"), (F.col("q1") - spread).alias("lo")
-    )
-    wide = fence.groupBy("level", "l", "s").agg(
+    wide = quartiles.groupBy("level", "l", "s").agg(
         F.max("total").alias("total"),
-        *[F.max(F.when(F.col("measure") == m, F.col("hi"))).alias(f"{m}_hi") for m in SLACK],
-        *[F.max(F.when(F.col("measure") == m, F.col("lo"))).alias(f"{m}_lo") for m in TWO_SIDED],
+        *[F.max(F.when(F.col("measure") == m, F.col(q))).alias(f"{m}_{q}") for m in (*SLACK, *SIZES) for q in ("q1", "q3")],
     )
-    limits = [f"{m}_hi" for m in SLACK] + [f"{m}_lo" for m in TWO_SIDED]
-    wide = wide.where((F.col("total") >= MIN_GROUP) | (F.col("level") == 2))
-    # each group asks for its own fence, its language's and the overall one, and takes the first there is
+    fence = {}
+    for m, (size, counted) in SLACK.items():
+        q1, q3 = F.col(f"{m}_q1"), F.col(f"{m}_q3")
+        spread = (q3 - q1) * FENCE + F.floor(counted * (q3 if m == "word_length" else F.lit(1000)) / F.greatest(F.col(f"{size}_q1"), F.lit(1)))
+        fence[f"{m}_hi"] = q3 + spread
+        if m in TWO_SIDED:
+            fence[f"{m}_lo"] = F.greatest(q1 - spread, F.lit(0))
+    wide = wide.select("level", "l", "s", F.struct("total", *[fence[c].alias(c) for c in LIMITS]).alias("fence"))
     asked = counts.select(F.col("lang"), F.col("source")).distinct().select(
         "lang", "source", F.inline(_levels(F.col("lang"), F.col("source")))
     )
     same = [asked[c].eqNullSafe(wide[c]) for c in ("level", "l", "s")]
-    found = asked.join(wide, same[0] & same[1] & same[2]).select("lang", "source", asked["level"], F.struct(*limits).alias("limits"))
-    chosen = found.groupBy("lang", "source").agg(F.min_by("limits", "level").alias("limits"))
-    return chosen.select("lang", "source", "limits.*")
+    found = asked.join(wide, same[0] & same[1] & same[2]).select("lang", "source", asked["level"], "fence")
+    levels = found.groupBy("lang", "source").agg(
+        *[F.max(F.when(F.col("level") == k, F.col("fence"))).alias(name) for k, name in enumerate(("own", "language", "every"))]
+    )
+    return levels.select("lang", "source", *[F.expr(_weighted("div", c)).alias(c) for c in LIMITS])
+
+
+def _weighted(div: str, c: str) -> str:
+    """SQL of a group's fence, from those of its own sketch, its language's and that of all."""
+    language = f"((language.total * language.{c} + {PRIOR} * every.{c}) {div} (language.total + {PRIOR}))"
+    return f"(own.total * own.{c} + {PRIOR} * {language}) {div} (own.total + {PRIOR})"
 
 
 def judged(features: DataFrame) -> DataFrame:
@@ -207,7 +221,7 @@ fb AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fai
 SQL_KEPT = f"""WITH {SQL_FEATURES},
 long AS ({" UNION ALL ".join(
     f"SELECT lang, source, '{m}' AS measure, CAST({v} AS BIGINT) AS v FROM fb WHERE NOT base_failed"
-    for m, v in _SQL_MEASURES.items())}),
+    for m, v in [*_SQL_MEASURES.items(), *zip(SIZES, SIZES)])}),
 b AS (SELECT lang, source, measure, {_SQL_SHIFT} AS shift, {_SQL_SHIFT} * 16 + (v >> {_SQL_SHIFT}) AS bucket FROM long),
 lv AS (SELECT 0 AS level, lang AS l, source AS s, measure, bucket, shift FROM b
        UNION ALL SELECT 1, lang, NULL, measure, bucket, shift FROM b
@@ -218,18 +232,15 @@ r AS (SELECT *, sum(n) OVER (PARTITION BY level, l, s, measure ORDER BY bucket)
         sum(n) OVER (PARTITION BY level, l, s, measure) AS total FROM h),
 q AS (SELECT level, l, s, measure, min(top) FILTER (upto * 4 >= total) AS q1,
         min(top) FILTER (upto * 4 >= total * 3) AS q3, max(total) AS total FROM r GROUP BY ALL),
-fe AS (SELECT level, l, s, measure, total, q3 + (q3 - q1) * {FENCE} + k AS hi, q1 - (q3 - q1) * {FENCE} - k AS lo
-       FROM (SELECT *, CASE measure {" ".join(f"WHEN '{m}' THEN {k}" for m, k in SLACK.items())} END AS k FROM q)),
-grp AS (SELECT DISTINCT lang, source FROM fb),
-lim AS (SELECT grp.lang, grp.source, a.measure,
-          CASE WHEN o.total >= {MIN_GROUP} THEN o.hi WHEN y.total >= {MIN_GROUP} THEN y.hi ELSE a.hi END AS hi,
-          CASE WHEN o.total >= {MIN_GROUP} THEN o.lo WHEN y.total >= {MIN_GROUP} THEN y.lo ELSE a.lo END AS lo
-        FROM grp JOIN fe a ON a.level = 2
-        LEFT JOIN fe y ON y.level = 1 AND y.l IS NOT DISTINCT FROM grp.lang AND y.measure = a.measure
-        LEFT JOIN fe o ON o.level = 0 AND o.l IS NOT DISTINCT FROM grp.lang AND o.s IS NOT DISTINCT FROM grp.source
-          AND o.measure = a.measure),
-wide AS (SELECT lang, source, {", ".join(f"max(hi) FILTER (measure = '{m}') AS {m}_hi" for m in SLACK)},
-           {", ".join(f"max(lo) FILTER (measure = '{m}') AS {m}_lo" for m in TWO_SIDED)} FROM lim GROUP BY ALL)
+w AS (SELECT level, l, s, max(total) AS total,
+        {", ".join(f"max({q}) FILTER (measure = '{m}') AS {m}_{q}" for m in (*SLACK, *SIZES) for q in ("q1", "q3"))} FROM q GROUP BY ALL),
+sp AS (SELECT *, {", ".join(f"({m}_q3 - {m}_q1) * {FENCE} + CAST(floor({n} * {f'{m}_q3' if m == 'word_length' else 1000} / greatest({size}_q1, 1)) AS BIGINT) AS {m}_spread"
+                            for m, (size, n) in SLACK.items())} FROM w),
+fe AS (SELECT level, l, s, CAST(total AS BIGINT) AS total, {", ".join(f"{m}_q3 + {m}_spread AS {m}_hi" for m in SLACK)},
+         {", ".join(f"greatest({m}_q1 - {m}_spread, 0) AS {m}_lo" for m in TWO_SIDED)} FROM sp),
+wide AS (SELECT own.l AS lang, own.s AS source, {", ".join(f"{_weighted('//', c)} AS {c}" for c in LIMITS)}
+         FROM fe own JOIN fe language ON language.level = 1 AND language.l IS NOT DISTINCT FROM own.l
+           JOIN fe every ON every.level = 2 WHERE own.level = 0)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce({" OR ".join(
       [f"{v} > {m}_hi" for m, v in _SQL_MEASURES.items()] + [f"{_SQL_MEASURES[m]} < {m}_lo" for m in TWO_SIDED])}, false) AS kept
