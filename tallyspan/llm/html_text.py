@@ -12,6 +12,12 @@ itself and stay, and pages of which most text is shared are copies of each other
 so neither decides over the other.  Menus, headers, footers, sidebars, notices, adverts, forms and
 comments that are marked as such go in any case, shared or not.
 
+A mark in the middle of a longer name (``search-results``, ``notice-period``) only raises doubt: outside an
+article such blocks are open like any other, inside it they stay unless the neighbour shares them.  An
+article or main element is never marked by its own class, but for reader comments; one inside an
+element marked by class counts if the page has nothing else.  A quote opens a value only after an equals
+sign, as in browsers, and one that is never closed ends with its tag.
+
 Hosts of any size are sorted by range slices; only block hashes travel to be aligned.
 
 Defined results: NULL html is empty text; pages without url, or alone in their host, are
@@ -55,40 +61,68 @@ MARKS = frozenset(
     "newsletter notice notices pagination pager popup promo promoted promotion recommended related replies responses search "
     "share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+COMMENTS = frozenset("comment comments commentlist disqus replies responses".split())
+# Words that leave the meaning of a mark before them as it is.
+GENERIC = frozenset(
+    "area bar block body box button buttons card cards col column container content group header heading icon icons inner item "
+    "items label left link links list main message outer overlay page panel post posts right row section text title top "
+    "widget wrap wrapper".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
+ATTRIBUTES = r"(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?:{SILENT})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</(?:{SILENT})\s*>|\Z))"
-    r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<([/!?]?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))|<[!?/][^>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(?:{SILENT})\b{ATTRIBUTES}(?:(?<=/)>|>.*?(?:</(?:{SILENT})\s*>|\Z))"
+    rf"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<([/!?]?)([a-zA-Z][\w:-]*)({ATTRIBUTES})(?:>|\Z|(?=<))|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"([\w:-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 NAME = re.compile(r"[a-z0-9]+")
-BOILER, OPEN, MAIN = 0, 1, 2
-
-
-def marked(name: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element is marked as something other than the article."""
+# Blocks: to be dropped, outside and inside an article, inside it and in doubt.
+BOILER, OPEN, MAIN, WEAK = 0, 1, 2, 3
+NESTED = 4  # in an article inside a marked element, until the page is read
+# Marks of elements: none, in doubt, by class or id, beyond doubt.
+DOUBT, NAMED, SURE = 1, 2, 3
+
+
+def named(name: str) -> int:
+    """Mark of one class or id name."""
+    words = NAME.findall(name)
+    places = [i for i, w in enumerate(words) if w in MARKS]
+    if not places:
+        return 0
+    if places[-1] == len(words) - 1 or GENERIC.issuperset(w for w in words[places[-1] + 1 :] if not w.isdigit()):
+        return NAMED if COMMENTS.isdisjoint(words) else SURE
+    return DOUBT
+
+
+def marked(name: str, attributes: str, in_main: bool) -> int:
+    """How an element is marked as something other than the article."""
     if name in DROPPED or (name == "header" and not in_main):
-        return True
-    if not attributes or name in ("html", "body", "article", "main") and "comment" not in attributes:
-        return False
+        return SURE
+    if not attributes or name in ("html", "body"):
+        return 0
+    found, own = 0, name in ("article", "main")
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key in ("class", "id") and value and not MARKS.isdisjoint(NAME.findall(value)):
-            return True
+        if own:
+            if key in ("class", "id") and not COMMENTS.isdisjoint(value.split()):
+                return SURE
+            continue
+        if key in ("class", "id"):
+            found = max([found, *map(named, value.split())])
         if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return SURE
         if key == "style" and HIDDEN.search(value):
-            return True
-    return False
+            return SURE
+    return found
 
 
 def read_blocks(page: str) -> list[tuple[str, int]]:
-    """Visible blocks in page order, each BOILER, MAIN (inside an article) or OPEN."""
+    """Visible blocks in page order, each BOILER, MAIN or WEAK (inside an article) or OPEN."""
     out: list[tuple[str, int]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, inside something marked, inside an article
+    stack: list[tuple[str, int, bool, bool]] = []  # name, mark, inside an article, and that inside something marked
     parts: list[str] = []
     linked = plain = 0  # characters inside and outside links
     at, links = 0, 0
@@ -97,8 +131,11 @@ def read_blocks(page: str) -> list[tuple[str, int]]:
         nonlocal linked, plain
         text = " ".join(references.unescape("".join(parts)).split())
         if text:
-            off, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            kind = BOILER if off else MAIN if main else BOILER if linked and not plain else OPEN
+            off, main, nested = stack[-1][1:] if stack else (0, False, False)
+            if off > DOUBT or not main and linked and not plain:
+                kind = BOILER
+            else:
+                kind = NESTED if nested else OPEN if not main else WEAK if off else MAIN
             out.append((text, kind))
         parts.clear()
         linked = plain = 0
@@ -139,13 +176,16 @@ def read_blocks(page: str) -> list[tuple[str, int]]:
             if name in ("body", "p", "li", "td", "tr", "dt", "dd", "option"):
                 _close(stack, name)
         if name not in VOID and not m[3].rstrip().endswith("/"):
-            off, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            off = off or marked(name, m[3], main)
-            stack.append((name, off, main or (name in ("article", "main") and not off)))
+            off, main, nested = stack[-1][1:] if stack else (0, False, False)
+            mark = marked(name, m[3], main)
+            if name in ("article", "main") and not mark and not main and off < SURE:
+                off, main, nested = 0, True, off == NAMED
+            stack.append((name, max(off, mark), main, nested))
     if at < len(page):
         say(page[at:])
     flush()
-    return out
+    alone = not any(kind in (OPEN, MAIN, WEAK) for _, kind in out)
+    return [(t, (MAIN if alone else BOILER) if kind == NESTED else kind) for t, kind in out]
 
 
 def _close(stack: list, name: str) -> None:
@@ -193,7 +233,8 @@ def common_subsequence(a: list, b: list) -> list[int]:
 
 def flipped(mine: dict, others: list) -> list[int]:
     """Open blocks that the first neighbour which is no copy decides otherwise than marks alone:
-    those it shares, or, on a page that has an article, those it does not share."""
+    those it shares, or, on a page that has an article, those it does not share; and the
+    blocks in doubt that it shares."""
     for other in others:
         if other is None:
             continue
@@ -201,8 +242,8 @@ def flipped(mine: dict, others: list) -> list[int]:
         weight = lambda page, places: sum(page["sizes"][i] for i in places if page["kinds"][i] != BOILER)
         smaller = min(weight(mine, range(len(mine["hashes"]))), weight(other, range(len(other["hashes"]))))
         if weight(mine, shared) <= COPY * smaller:
-            inside = MAIN in mine["kinds"]
-            return [i for i, kind in enumerate(mine["kinds"]) if kind == OPEN and (i in shared) != inside]
+            inside = MAIN in mine["kinds"] or WEAK in mine["kinds"]
+            return [i for i, kind in enumerate(mine["kinds"]) if kind == OPEN and (i in shared) != inside or kind == WEAK and i in shared]
     return []
 
 
@@ -210,9 +251,9 @@ def main_text(page: str, flip: list[int] | None = None) -> str:
     """By marks alone, the blocks inside an article if the page has any, else the open ones;
     neighbours turn that around for the blocks in ``flip``."""
     blocks, turned = read_blocks(page), set(flip or ())
-    inside = any(kind == MAIN for _, kind in blocks)
-    wanted = MAIN if inside else OPEN
-    return "\n\n".join(t for i, (t, kind) in enumerate(blocks) if (kind == wanted) != (i in turned))
+    inside = any(kind in (MAIN, WEAK) for _, kind in blocks)
+    wanted = (MAIN, WEAK) if inside else (OPEN,)
+    return "\n\n".join(t for i, (t, kind) in enumerate(blocks) if (kind in wanted) != (i in turned))
 
 
 def host_of(url: Column) -> Column:
@@ -295,7 +336,7 @@ def turned_blocks(pages: DataFrame) -> DataFrame:
     """row, flip: the open blocks that neighbours decide otherwise than marks alone, for pages that have any."""
     lined = kept(outlines(pages))
     whole = F.struct("hashes", "sizes", "kinds")
-    mine = lined.where(F.array_contains("kinds", OPEN)).select("row", whole.alias("mine")).join(neighbours(lined), "row")
+    mine = lined.where(F.array_contains("kinds", OPEN) | F.array_contains("kinds", WEAK)).select("row", whole.alias("mine")).join(neighbours(lined), "row")
     side = lambda name: lined.select(F.col("row").alias(name), whole.alias(f"of_{name}"))
     both = mine.join(side("near"), "near").join(side("far"), "far", "left")
 
