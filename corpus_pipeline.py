@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import bpe, decontaminate, near_copies, quality_rules, suffix_dedup
+from tallyspan.llm import bpe, decontaminate, quality_rules, simhash, suffix_dedup
 from tallyspan.llm.common import kept, table
 
 
@@ -14,8 +14,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents with similar five-word shingles, the one with the smallest id stays."""
-    return near_copies.drop_near_copies(docs)
+    """Of each group of documents whose SimHash fingerprints connect, the one with the smallest id stays."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

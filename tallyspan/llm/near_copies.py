@@ -1,4 +1,7 @@
-"""The pipeline's near-duplicate stage: texts whose five-word shingles have Jaccard similarity 0.8 or more.
+"""Texts whose five-word shingles have Jaccard similarity 0.8 or more, a wider rule than operator 8's.
+
+The pipeline does not use it: its stage is operator 8.  Where very many texts are alike but not similar enough,
+the exact result compares each with each.
 
 Similar texts are found by banded MinHash over the set of five-word shingles of the lower-case
 text, and each pair found is verified by the exact similarity of the two sets.  A pair at 0.8

@@ -9,7 +9,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from test_near_copies import kept_rows  # noqa: E402
 
 from tallyspan.llm import bpe  # noqa: E402
 from tallyspan.llm.queries import QUERIES  # noqa: E402
@@ -21,7 +20,8 @@ def test_stages_and_result(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     passed = {r.doc_id for r in QUERIES["op1_quality_rules"](spark, DATA).where("kept").collect()}
     docs = {i: t for i, t in docs.items() if i in passed}
-    docs = dict(kept_rows(docs.items()))
+    group = brute.groups({i: brute.fingerprint(t) for i, t in docs.items()})
+    docs = {i: t for i, t in docs.items() if group[i] == i}
     found = brute.removed_bytes(sorted(docs.items()))
     docs = {i: np.frombuffer(b, np.uint8)[~g].tobytes().decode("utf-8", "ignore") for i, (b, g) in found.items()}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
@@ -33,6 +33,20 @@ def test_stages_and_result(spark):
     assert got == wanted
 
 
+def test_near_duplicates_are_those_of_the_fingerprints(spark):
+    """Texts within two bits go, whatever their shingles share; of texts further apart all stay."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    near = [" ".join(f"w{k}" for k in range(n)) for n in (400, 401)]
+    far = " ".join([f"w{k}" for k in range(360)] + [f"x{k}" for k in range(40)])
+    rows = docs.limit(0).union(spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate([*near, far])], docs.schema))
+    marks = [brute.fingerprint(t) for t in (*near, far)]
+    assert (marks[0] ^ marks[1]).bit_count() <= 2 < min((m ^ marks[2]).bit_count() for m in marks[:2])
+    wide = docs.union(rows.withColumn("doc_id", rows.doc_id + 10**6))
+    group = brute.groups({r.doc_id: brute.fingerprint(r.text) for r in wide.collect()})
+    got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, wide, DATA)
+    assert {r.doc_id for r in got.collect()} == {i for i, root in group.items() if i == root}
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     out = docs
