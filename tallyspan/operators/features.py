@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +20,8 @@ from tallyspan.spec import HOT_ROWS, Spec, require_columns
 # Up to this many raw columns the aggregates are spelled out per column; beyond it
 # the columns are exploded into (position, value) rows after the shuffle.
 WIDE_COLUMNS = 8
+# A task explodes and sorts about so many values at most; they stay in its memory.
+TASK_VALUES = 1_000_000
 
 
 def prepare_statements(df: DataFrame, spec: Spec, continuous: Sequence[str], categorical: Sequence[str]) -> DataFrame:
@@ -168,9 +171,16 @@ def build_features(
     core = _Core(spec, continuous, categorical, features, has_target, options)
     shaped, lagged = core.shape(base, layout)
     # one task sorts an entity's values of every column, so the bound is on values
-    key_rows = None if hot_rows is None else max(1, hot_rows // max(1, len(continuous) + len(categorical)))
-    usual, hot = sequence_parts(shaped, spec, lagged, hot_rows, key_rows)
-    if layout == "wide" and not core.ranked:
+    places = max(1, len(continuous) + len(categorical))
+    key_rows = None if hot_rows is None else max(1, hot_rows // places)
+    total = None if hot_rows is None else shaped.count()
+    exploded = layout == "long" or core.ranked
+    # partitions are sized by the rows that are shuffled, but each becomes one per place after it
+    tasks = None if not exploded or total is None else math.ceil(total * places / TASK_VALUES)
+    if tasks is not None and tasks <= df.sparkSession.sparkContext.defaultParallelism:
+        tasks = None
+    usual, hot = sequence_parts(shaped, spec, lagged, hot_rows, key_rows, total, tasks)
+    if not exploded:
         result = core.wide(usual)
     else:
         result = core.long(core.wide_to_long(usual) if layout == "wide" else usual)

@@ -16,10 +16,12 @@ COPY_BLOCK = 1_000_000
 
 def sequence_parts(
     df: DataFrame, spec: Spec, lagged: Column | None = None, hot_rows: int | None = HOT_ROWS,
-    key_rows: int | None = None,
+    key_rows: int | None = None, total: int | None = None, tasks: int | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """``with_sequence`` kept apart for ordinary and for hot entities."""
-    usual, hot = split_hot(df, [spec.id], hot_rows, key_rows)
+    """``with_sequence`` kept apart for ordinary and for hot entities, the ordinary ones dealt to ``tasks``."""
+    usual, hot = split_hot(df, [spec.id], hot_rows, key_rows, total)
+    if tasks is not None:
+        usual = usual.repartition(tasks, spec.id)
     return _sequence(usual, spec, lagged), None if hot is None else _sequence_sliced(hot, spec, lagged)
 
 

@@ -98,6 +98,17 @@ def test_one_exchange(statements):
         assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("layout", ["wide", "long"])
+def test_tasks_follow_the_values_to_sort(statements, monkeypatch, layout):
+    """Rows become one per column after the shuffle: 180 rows of three columns, ten values a task."""
+    monkeypatch.setattr("tallyspan.operators.features.TASK_VALUES", 10)
+    result = build_features(statements, SPEC, layout=layout)
+    plan = plan_of(result)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert ", 54), REPARTITION_BY_NUM" in plan, plan
+    compared(result, naive(statements.toPandas(), False))
+
+
 def test_reads_only_needed_columns(spark):
     df = spark.read.parquet(f"{DATA}/lineitem.parquet")
     wanted = ["l_tax_mean", "l_tax_last"]
