@@ -158,8 +158,15 @@ def join_all(coder, lengths, parts: list[tuple[str, np.ndarray]]) -> np.ndarray:
     return parts[0][1]
 
 
-def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str = "ids", leaf: int = LEAF) -> DataFrame:
-    """Adds ``ids``, the packed tokens of every whole text.
+def decode_packed(coder, packed: bytes | None) -> str | None:
+    return None if packed is None else coder.decode_bytes(np.frombuffer(packed, "<u4").tolist()).decode("utf-8", "replace")
+
+
+def encode(
+    df: DataFrame, path: str | None = None, text: str = "text", ids: str = "ids", leaf: int = LEAF, decoded: str | None = None
+) -> DataFrame:
+    """Adds ``ids``, the packed tokens of every whole text, and the text they decode to, if a column
+    ``decoded`` is named: as ``decode`` does, but in the same Python worker, so that a task needs only one.
 
     Texts of one piece are encoded where they are read.  Only longer ones are dealt out:
     their pieces by (row, piece), then their tokens by row.
@@ -172,12 +179,17 @@ def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str
     others = [k for k in fields if k != body]
     plain = plain.withColumn(body, F.coalesce(F.col(body), F.lit("")))
     is_long = F.length(body) > leaf
+    made = ["ids", "back"] if decoded else ["ids"]
+
+    def results(coder, packed: list[bytes]) -> list[pa.Array]:
+        back = [pa.array([decode_packed(coder, p) for p in packed], pa.string())] if decoded else []
+        return [pa.array(packed, pa.binary()), *back]
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, _ = encoding(path)
         for batch in batches:
             packed = [encode_piece(coder, t).astype("<u4").tobytes() for t in batch.column(body).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packed, pa.binary())], [*fields, "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *results(coder, packed)], [*fields, *made])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each piece; the other columns go with the first piece."""
@@ -211,10 +223,10 @@ def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str
         whole = join_all(coder, lengths, list(zip(texts, tokens)))
         first = group.slice(0, 1)
         columns = [pa.array(["".join(texts)], pa.string()) if name == body else first[name] for name in fields]
-        return pa.table([*columns, pa.array([whole.astype("<u4").tobytes()], pa.binary())], [*fields, "ids"])
+        return pa.table([*columns, *results(coder, [whole.astype("<u4").tobytes()])], [*fields, *made])
 
     row, ids_field = [StructField("row", LongType()), StructField("piece", LongType())], StructField("ids", BinaryType())
-    whole_row = StructType([*plain.schema.fields, ids_field])
+    whole_row = StructType([*plain.schema.fields, ids_field, *[StructField("back", StringType())] * bool(decoded)])
     without_text = StructType([*row, *[plain.schema[c] for c in others], ids_field])
     direct = plain.where(~is_long).mapInArrow(short, whole_row)
     long = (
@@ -223,7 +235,7 @@ def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str
         .mapInArrow(encode_leaves, without_text)
         .groupBy("row").applyInArrow(tree, whole_row)
     )
-    return direct.unionByName(long).toDF(*df.columns, ids)
+    return direct.unionByName(long).toDF(*df.columns, ids, *[decoded] * bool(decoded))
 
 
 def decode(df: DataFrame, path: str | None = None, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -237,10 +249,7 @@ def decode(df: DataFrame, path: str | None = None, ids: str = "ids", text: str =
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, _ = encoding(path)
         for batch in batches:
-            texts = [
-                None if p is None else coder.decode_bytes(np.frombuffer(p, "<u4").tolist()).decode("utf-8", "replace")
-                for p in batch.column(packed).to_pylist()
-            ]
+            texts = [decode_packed(coder, p) for p in batch.column(packed).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*fields, "text"])
 
     plain = df.toDF(*fields)
@@ -249,7 +258,7 @@ def decode(df: DataFrame, path: str | None = None, ids: str = "ids", text: str =
 
 
 def encoded_digests(docs: DataFrame) -> DataFrame:
-    tokens = decode(encode(docs.select("doc_id", "text")).drop("text"))
+    tokens = encode(docs.select("doc_id", "text"), decoded="decoded")
     return tokens.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

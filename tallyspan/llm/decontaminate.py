@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.llm.anchors import mix
-from tallyspan.llm.common import query, small_batches, table
-from tallyspan.llm.repeats import blocks, coded, free_name, keyed, Unit
+from tallyspan.llm.common import forget, kept, query, small_batches, table
+from tallyspan.llm.repeats import blocks, coded, Unit
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -139,21 +140,32 @@ class Items:
                             best[k] = (s, p)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, similarity of the best window, start_word and n_words of that window."""
-    small_batches(docs.sparkSession)
+def item_blocks(benchmark: DataFrame) -> Iterator[pa.Table]:
+    """The items with a text (item_id, text) in blocks of about ``BLOCK_CHARS``."""
     items = benchmark.where("text IS NOT NULL").select("item_id", "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, math.ceil(chars / BLOCK_CHARS))
     numbered = items.withColumn("_part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
+    for part in range(parts):
+        yield numbered.where(F.col("_part") == part).select("item_id", "text").toArrow()
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, similarity of the best window, start_word and n_words of that window."""
+    small_batches(docs.sparkSession)
     id_type, item_type = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
     schema = f"doc_id {id_type}, item_id {item_type}, similarity double, start_word bigint, n_words bigint"
-    out = None
-    for part in range(parts):
-        rows = numbered.where(F.col("_part") == part).select("item_id", "text").toArrow()
-        found = docs.select("doc_id", "text").mapInArrow(_finder(rows), schema)
-        out = found if out is None else out.union(found)
-    return out
+    found = (docs.select("doc_id", "text").mapInArrow(_finder(block), schema) for block in item_blocks(benchmark))
+    return reduce(DataFrame.union, found)
+
+
+def coded_texts(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+    """(place, word codes) of the texts that are not empty."""
+    rows = [(i, t.lower().encode()) for i, t in enumerate(texts) if t]
+    for lot in blocks(rows):
+        codes, sizes = coded([t for _, t in lot], WORDS)
+        for (i, _), n, end in zip(lot, sizes.tolist(), np.cumsum(sizes).tolist()):
+            yield i, codes[end - n : end]
 
 
 def _finder(block: pa.Table):
@@ -163,12 +175,9 @@ def _finder(block: pa.Table):
         items = Items(list(range(len(texts))), texts)
         for batch in batches:
             keys, out = batch.column(0), []
-            rows = [(i, t.lower().encode()) for i, t in enumerate(batch.column(1).to_pylist()) if t]
-            for lot in blocks(rows):
-                codes, sizes = coded([t for _, t in lot], WORDS)
-                for (i, _), n, end in zip(lot, sizes.tolist(), np.cumsum(sizes).tolist()):
-                    for k, (s, start) in items.matches(codes[end - n : end]).items():
-                        out.append((i, items.ids[k], s, start, min(n, items.sizes[k])))
+            for i, codes in coded_texts(batch.column(1).to_pylist()):
+                for k, (s, start) in items.matches(codes).items():
+                    out.append((i, items.ids[k], s, start, min(len(codes), items.sizes[k])))
             i, item, s, start, n = zip(*out) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [
@@ -180,13 +189,39 @@ def _finder(block: pa.Table):
     return run
 
 
+def _leaks(block: pa.Table):
+    """Whether a text holds a window similar to an item of the block."""
+    texts = block["text"].to_pylist()
+
+    @F.arrow_udf("boolean")
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        items = Items(list(range(len(texts))), texts)
+        for column in columns:
+            found = np.zeros(len(column), bool)
+            for i, codes in coded_texts(column.to_pylist()):
+                found[i] = bool(items.matches(codes))
+            yield pa.array(found)
+
+    return run
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no window similar to an item, row by row: rows that share
-    a doc_id, or have none, are judged each by its own text."""
-    key = free_name(docs)
-    rows = keyed(docs, key)
-    tainted = contaminated(rows.select(F.col(key).alias("doc_id"), "text"), benchmark)
-    return rows.join(tainted.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
+    a doc_id, or have none, are judged each by its own text.
+
+    Only texts go to Python and no row moves.  With several blocks of items the rows that one
+    leaves are written before the next reads them, so a task needs one Python worker with one block.
+    """
+    small_batches(docs.sparkSession)
+    left, written = docs, None
+    for block in item_blocks(benchmark):
+        if left is not docs:
+            left, before = kept(left), written
+            if before is not None:
+                forget(before)
+            written = left
+        left = left.where(~_leaks(block)("text"))
+    return left
 
 
 @query("op10_decontaminate")

@@ -37,8 +37,8 @@ from tallyspan.llm.common import forget, kept, small_batches
 SHARD_PIECES = 4096
 # Pieces of one core that a task compares; above, they are cut again.
 CORE_PIECES = 8192
-# Bytes whose hashes are made at once.
-BLOCK = 1 << 20
+# Bytes whose hashes are made at once; a worker holds some forty times as much.
+BLOCK = 1 << 18
 
 
 @dataclass(frozen=True)

@@ -174,6 +174,19 @@ def test_encode_equals_library(awkward, empty):
     assert bpe.encode(empty).count() == 0
 
 
+def test_encode_with_decoded_text(awkward):
+    """Decoding in the encoder's own worker gives what ``decode`` gives; no Python feeds another within a stage."""
+    out = bpe.encode(awkward, ids="tokens", leaf=2000, decoded="back")
+    assert out.columns == [*awkward.columns, "tokens", "back"]
+    want = bpe.decode(bpe.encode(awkward, ids="tokens", leaf=2000), ids="tokens", text="back")
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, want.collect()))
+    plan = bpe.encoded_digests(awkward)._jdf.queryExecution().executedPlan().toString()
+    steps = [line.strip(" :+-") for line in plan.splitlines() if "Project" not in line]
+    python = ("MapInArrow", "FlatMapGroupsInArrow")
+    assert any(x.startswith(python) for x in steps)
+    assert not any(a.startswith(python) and b.startswith(python) for a, b in zip(steps, steps[1:]))
+
+
 def test_golay_keys_meet():
     """Any two fingerprints two bits apart share a key."""
     pick = random.Random(7)
