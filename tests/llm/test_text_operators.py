@@ -1,5 +1,6 @@
 """Every text operator beside brute force, and on awkward tables."""
 
+import itertools
 import random
 import sys
 from pathlib import Path
@@ -9,6 +10,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
+from conftest import plan_of  # noqa: E402
 
 from tallyspan.llm import automaton_dedup, bpe, chat_format, decontaminate, html_text, quality_rules  # noqa: E402
 from tallyspan.llm import simhash, suffix_dedup, toxicity, warc  # noqa: E402
@@ -214,6 +216,20 @@ def test_near_links(spark, crowded):
     assert all(root.get(v, v) == wanted[v] for v in wanted)
 
 
+def test_near_links_broadcast_nothing_that_python_makes(spark, monkeypatch):
+    """Keys and lists are many times what the planner takes them for: the driver must not collect them."""
+    frames, kept = [], simhash.kept
+    monkeypatch.setattr(simhash, "kept", lambda df: frames.append(df) or kept(df))
+    links = simhash.near_links(spark.range(200).withColumnRenamed("id", "fp"))
+    assert {r.b for r in links.collect()} == set(range(1, 200))
+    for frame in (*frames, links):
+        steps = [(len(s) - len(s.lstrip(" :+-*")), s) for s in plan_of(frame).splitlines()]
+        assert any("MapInArrow" in s for _, s in steps) and any("SortMergeJoin" in s for _, s in steps)
+        for k, (depth, step) in enumerate(steps):
+            below = itertools.takewhile(lambda x: x[0] > depth, steps[k + 1 :])
+            assert "BroadcastExchange" not in step or not any("MapInArrow" in s for _, s in below)
+
+
 def test_simhash_groups(spark, texts):
     got = {r.doc_id: r for r in QUERIES["op8_simhash"](spark, DATA).collect()}
     fps = {i: brute.fingerprint(t) for i, t in texts}
